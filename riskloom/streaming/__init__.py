@@ -1,0 +1 @@
+"""Empty on purpose: the feature set covered here has no stream operators."""
