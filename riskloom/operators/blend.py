@@ -20,40 +20,41 @@ def blend(weights: Mapping[str, float], without: Sequence[str] = ()) -> Column:
     return reduce(add, [F.lit(w / scale) * F.col(c) for c, w in kept.items()])
 
 
-def simplex_weights(parts: int, step: float = 0.05) -> list[tuple[float, ...]]:
-    """All weight vectors with entries ``i * step`` that sum to 1, in lexicographic order."""
-    units = round(1 / step)
-
-    def fill(left: int, slots: int) -> list[tuple[int, ...]]:
-        if slots == 1:
-            return [(left,)]
-        return [(i, *rest) for i in range(left + 1) for rest in fill(left - i, slots - 1)]
-
-    return [tuple(i / units for i in combo) for combo in fill(units, parts)]
-
+def simplex_weights(wid: int, parts: int, units: int) -> tuple[float, ...]:
+    """The weight vector behind an id: its leading entries are the digits of the id."""
+    digits = []
+    for _ in range(parts - 1):
+        wid, digit = divmod(wid, units + 1)
+        digits.append(digit)
+    lead = digits[::-1]
+    return tuple(d / units for d in [*lead, units - sum(lead)])
+
+
+def _spread(
+    df: DataFrame, label: str, scores: Sequence[str], units: int, alive: Sequence[int] = ()
+) -> DataFrame:
+    """Rows times grid vectors as ``(wid, y, blended)``, ids in lexicographic order of the vector.
 
-def _spread(df: DataFrame, label: str, scores: Sequence[str], grid: dict[int, tuple]) -> DataFrame:
-    """Rows times weight vectors as ``(wid, y, blended)``; nothing but partial counts leaves it."""
-    vectors = F.array(
-        *[
-            F.struct(F.lit(i).alias("wid"), *[F.lit(x).alias(f"w{j}") for j, x in enumerate(w)])
-            for i, w in grid.items()
-        ]
-    )
-    blended = reduce(
-        add, [F.col(f"w.w{j}") * F.col(s).cast("double") for j, s in enumerate(scores)]
-    )
-    return df.select(
-        F.col(label).cast("int").alias("y"), *scores, F.explode(vectors).alias("w")
-    ).select("w.wid", "y", blended.alias("blended"))
+    The vectors are generated next to the rows; only partial counts of the result are shuffled.
+    """
+    rows = df.select(F.col(label).cast("int").alias("y"), *scores)
+    left, wid, terms = F.lit(units), F.lit(0), []
+    for j, s in enumerate(scores[:-1]):
+        rows = rows.withColumn(f"_u{j}", F.explode(F.sequence(F.lit(0), left)))
+        unit = F.col(f"_u{j}")
+        left, wid = left - unit, wid * (units + 1) + unit
+        terms.append(unit / F.lit(float(units)) * F.col(s).cast("double"))
+    terms.append(left / F.lit(float(units)) * F.col(scores[-1]).cast("double"))
+    out = rows.select(wid.cast("long").alias("wid"), "y", reduce(add, terms).alias("blended"))
+    return out.filter(F.col("wid").isin(*alive)) if alive else out
 
 
 def grid_bounds(
-    df: DataFrame, label: str, scores: Sequence[str], grid: dict[int, tuple], bins: int = 2000
+    df: DataFrame, label: str, scores: Sequence[str], units: int, bins: int = 2000
 ) -> DataFrame:
     """``(wid, lower, upper)``: certain limits of each blend's AUC from binned blends.
 
-    The shuffle holds at most ``len(grid) * bins`` rows per map task, whatever the table size;
+    The shuffle holds at most one row per vector and bin and map task, whatever the table size;
     pairs inside one bin count as all lost for the lower and all won for the upper limit.
     """
     ends = df.agg(
@@ -62,7 +63,7 @@ def grid_bounds(
     ).first()
     width = max(ends["hi"] - ends["lo"], 1e-300)
     binned = (
-        _spread(df, label, scores, grid)
+        _spread(df, label, scores, units)
         .select(
             "wid",
             F.floor((F.col("blended") - ends["lo"]) / width * bins).cast("int").alias("bin"),
@@ -99,14 +100,14 @@ def simplex_blend(
 
     Binned limits rule out every vector that cannot win; the others are scored exactly.
     """
-    grid = dict(enumerate(simplex_weights(len(scores), step)))
+    units = round(1 / step)
     known = df.select(label, *scores).dropna()
-    limits = grid_bounds(known, label, scores, grid, bins).collect()
+    limits = grid_bounds(known, label, scores, units, bins).collect()
     floor = max(r["lower"] for r in limits) - 1e-12
-    alive = {r["wid"]: grid[r["wid"]] for r in limits if r["upper"] >= floor}
-    exact = roc_auc(_spread(known, label, scores, alive), "y", "blended", by=["wid"])
+    alive = [r["wid"] for r in limits if r["upper"] >= floor]
+    exact = roc_auc(_spread(known, label, scores, units, alive), "y", "blended", by=["wid"])
     best = exact.orderBy(F.desc("auc"), "wid").first()
-    return dict(zip(scores, grid[best["wid"]])), best["auc"]
+    return dict(zip(scores, simplex_weights(best["wid"], len(scores), units))), best["auc"]
 
 
 def gram(df: DataFrame, label: str, scores: Sequence[str], fold: str = "fold") -> DataFrame:

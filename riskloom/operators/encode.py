@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import attach
+from riskloom.session import settle
 
 ALPHA = 10.0
 
@@ -76,7 +77,7 @@ def encode(
     keep: bool = False,
 ) -> DataFrame:
     """Replace each column by ``<column>_TE``; null and unseen categories get ``mu``."""
-    out = df
+    out, te_map = df, settle(te_map)
     for c in columns:
         part = te_map.filter(F.col("name") == c).select(
             F.col("cat").alias(f"_{c}"),
@@ -84,7 +85,7 @@ def encode(
             F.col("te").alias(f"{c}_TE"),
         )
         on = [f"_{c}"] + ([on_fold] if on_fold else [])
-        out = attach(out.withColumn(f"_{c}", F.col(c).cast("string")), part, on)
+        out = attach(out.withColumn(f"_{c}", F.col(c).cast("string")), part, on, settled=True)
         out = out.withColumn(f"{c}_TE", F.coalesce(f"{c}_TE", F.lit(mu))).drop(f"_{c}")
     return out if keep else out.drop(*columns)
 

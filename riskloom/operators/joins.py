@@ -19,13 +19,14 @@ def attach(
     on: Sequence[str],
     how: str = "left",
     max_rows: int = BROADCAST_ROWS,
+    settled: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to ``dim`` (unique on ``on``).
 
-    ``dim`` is computed once; it is broadcast when it is counted to hold at most ``max_rows``
-    rows, and joined by ``lookup`` beyond that.
+    ``dim`` is computed once, unless it is ``settled`` already; it is broadcast when it is counted
+    to hold at most ``max_rows`` rows, and joined by ``lookup`` beyond that.
     """
-    dim = settle(dim)
+    dim = dim if settled else settle(dim)
     if dim.limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(dim), list(on), how)
     return lookup(rows, dim, on, how)

@@ -63,6 +63,7 @@ def knn_target_mean(
 
     sites = queries.groupBy(*place).agg(F.min("id").alias("site"))
     sites = settle(sites.withColumn("cell", tree.cell_of()))
+    sites = sites.toDF(*sites.columns)  # new column identities: queries may derive from refs
 
     home = settle(
         _search(sites.withColumn("r2", F.lit(float("inf"))), points, most, by_fold, cell_queries)

@@ -136,21 +136,36 @@ def linear_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataF
     )
 
 
-def rank_map(df: DataFrame, score: str) -> DataFrame:
-    """``(score, pct_rank)`` per distinct score: average rank of ties over the row count."""
-    ranked = running_totals(value_counts(df, score), [score], ["n"])
-    return ranked.select(
-        score,
-        ((F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)) / F.col("n_total")).alias("pct_rank"),
+def rank_maps(df: DataFrame, scores: Sequence[str]) -> DataFrame:
+    """``(name, value, pct_rank)`` per distinct score: average rank of ties over the row count."""
+    ranked = running_totals(
+        value_counts(_long(df, scores), "value", ["name"]), ["value"], ["n"], ["name"]
+    )
+    middle = F.col("n_before") + (F.col("n") + 1) / F.lit(2.0)
+    return ranked.select("name", "value", (middle / F.col("n_total")).alias("pct_rank"))
+
+
+def _long(df: DataFrame, scores: Sequence[str], *keep: Column) -> DataFrame:
+    """Several score columns as ``(keep..., name, value)`` rows."""
+    named = [
+        F.struct(F.lit(s).alias("name"), F.col(s).cast("double").alias("value")) for s in scores
+    ]
+    return df.select(*keep, F.explode(F.array(*named)).alias("_s")).select(
+        *[c for c in df.select(*keep).columns], "_s.name", "_s.value"
     )
 
 
 def rank_normalize(df: DataFrame, scores: Sequence[str], suffix: str = "_rank") -> DataFrame:
     """Add the percentile rank of each score column; a null score keeps a null rank."""
+    maps = settle(rank_maps(df, scores))
     out = df
-    for score in scores:
-        ranks = rank_map(df, score).withColumnRenamed("pct_rank", score + suffix)
-        out = attach(out, ranks, [score])
+    for s in scores:
+        ranks = maps.filter(F.col("name") == s).select(
+            F.col("value").alias("_value"), F.col("pct_rank").alias(s + suffix)
+        )
+        out = attach(
+            out.withColumn("_value", F.col(s).cast("double")), ranks, ["_value"], settled=True
+        ).drop("_value")
     return out.select(*df.columns, *[s + suffix for s in scores])
 
 
@@ -186,17 +201,7 @@ def auc_of_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 def auc_by_column(df: DataFrame, label: str, scores: Sequence[str]) -> DataFrame:
     """``(name, auc, positives, negatives)`` for several score columns in one pass."""
-    long = df.select(
-        F.col(label).alias("_label"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(s).alias("name"), F.col(s).cast("double").alias("value"))
-                    for s in scores
-                ]
-            )
-        ).alias("s"),
-    ).select("_label", "s.name", "s.value")
+    long = _long(df, scores, F.col(label).alias("_label"))
     return roc_auc(long, "_label", "value", by=["name"])
 
 

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from riskloom.plans import checks_aggregates, checks_tables  # noqa: F401
+from riskloom.plans import checks_aggregates, checks_scores, checks_tables  # noqa: F401
 from riskloom.plans.registry import ORACLES, QUERIES  # noqa: F401

@@ -25,19 +25,21 @@ def main(argv: list[str]) -> int:
     for name, run in entry_module.queries().items():
         if len(argv) > 1 and not any(part in name for part in argv[1:]):
             continue
-        start = time.time()
+        start, spent = time.time(), 0.0
         try:
             df = run(spark, sf)
+            rows = df.collect()
+            spent = time.time() - start
             if name in sqls:
-                problem = differences(df, con, sqls[name])
+                problem = differences(df, rows, con, sqls[name])
                 state = "ok" if problem is None else f"DIFF {problem}"
             else:
-                state, problem = f"rows only {len(df.collect())}", None
+                state, problem = f"rows only {len(rows)} {rows[:2]}", None
         except Exception as error:
             traceback.print_exc(limit=3)
             state, problem = f"ERROR {str(error)[:600]}", error
         failed += problem is not None
-        print(f"{name:28s} {time.time() - start:6.2f}s {state}", flush=True)
+        print(f"{name:28s} {spent:6.2f}s {state}", flush=True)
     print("failed:", failed)
     return failed
 

@@ -46,12 +46,12 @@ SAME_TYPE = {
 }
 
 
-def differences(df, con, sql: str) -> str | None:
+def differences(df, rows, con, sql: str) -> str | None:
     """A description of the first difference, or None when results and types agree."""
     rel = con.sql(sql)
     want_types = dict(zip(rel.columns, map(str, rel.types)))
     want_cols, want = rows_of(list(rel.columns), rel.fetchall())
-    got_cols, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
+    got_cols, got = rows_of(df.columns, [tuple(r) for r in rows])
     if got_cols != want_cols:
         return f"columns {got_cols} != {want_cols}"
     for name, kind in df.dtypes:
