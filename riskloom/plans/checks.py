@@ -1,4 +1,9 @@
 """All registered queries."""
 
-from riskloom.plans import checks_aggregates, checks_scores, checks_tables  # noqa: F401
+from riskloom.plans import (  # noqa: F401
+    checks_aggregates,
+    checks_credit,
+    checks_scores,
+    checks_tables,
+)
 from riskloom.plans.registry import ORACLES, QUERIES  # noqa: F401
