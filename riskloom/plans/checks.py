@@ -3,6 +3,7 @@
 from riskloom.plans import (  # noqa: F401
     checks_aggregates,
     checks_credit,
+    checks_models,
     checks_scores,
     checks_tables,
 )

@@ -56,6 +56,17 @@ def staged(
     return spark.read.parquet(path)
 
 
+def staged_once(
+    build: Callable[[], DataFrame], root: str, name: str, params: Mapping[str, object]
+) -> DataFrame:
+    """Like ``staged`` for a result that runs jobs while it is built: keyed by parameters alone."""
+    path = f"{root.rstrip('/')}/{stage_key(name, params)}"
+    spark = SparkSession.getActiveSession()
+    if not exists(spark, f"{path}/_SUCCESS"):
+        build().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def optional_table(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table, or ``None`` when there is none."""
     return spark.read.parquet(path) if exists(spark, path) else None
