@@ -47,10 +47,14 @@ def quantile_by_parent(
 def status_pivot(
     df: DataFrame, key: str, status: str, names: Mapping[str, str], where: Column | None = None
 ) -> DataFrame:
-    """Counts per listed status as columns, 0 where a key has none of a status."""
+    """Counts per listed status as columns, 0 where a key has none of a status.
+
+    The statuses are known, so the pivot is one aggregation with map-side partial counts.
+    """
     rows = df if where is None else df.filter(where)
-    wide = rows.groupBy(key).pivot(status, list(names)).count().fillna(0, list(names))
-    return wide.select(key, *[F.col(s).alias(out) for s, out in names.items()])
+    return to_parent(
+        rows, key, {out: A.tally(F.col(status) == name) for name, out in names.items()}
+    )
 
 
 def mean_of_means(df: DataFrame, inner: str, outer: str, value: Column, out: str) -> DataFrame:

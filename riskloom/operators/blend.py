@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordered import auc_by_column, roc_auc
+from riskloom.session import shuffle_width
 
 
 def blend(weights: Mapping[str, float], without: Sequence[str] = ()) -> Column:
@@ -36,8 +37,9 @@ def _spread(
     """Rows times grid vectors as ``(wid, y, blended)``, ids in lexicographic order of the vector.
 
     The vectors are generated next to the rows; only partial counts of the result are shuffled.
+    Each row becomes many, so the rows are first spread over all tasks.
     """
-    rows = df.select(F.col(label).cast("int").alias("y"), *scores)
+    rows = df.select(F.col(label).cast("int").alias("y"), *scores).repartition(shuffle_width(df))
     left, wid, terms = F.lit(units), F.lit(0), []
     for j, s in enumerate(scores[:-1]):
         rows = rows.withColumn(f"_u{j}", F.explode(F.sequence(F.lit(0), left)))

@@ -29,13 +29,10 @@ def apply_cap(df: DataFrame, column: str, cap: float | None) -> DataFrame:
     return df.withColumn(column, clipped)
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
+def fit_medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
     """Exact medians (interpolated), one number per column."""
-    medians = {}
-    for c in columns:
-        edges = linear_quantiles(df.select(c), c, [0.5]).first()["edges"]
-        medians[c] = edges[0] if edges else None
-    return medians
+    edges = linear_quantiles(df, columns, [0.5])
+    return {c: (edges[c][0] if edges[c] else None) for c in columns}
 
 
 def finite(column: Column) -> Column:
@@ -75,11 +72,11 @@ def prune(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.drop(*[n for n in names if n in df.columns])
 
 
-def fit_bins(df: DataFrame, column: str, bins: int = 10) -> list[float]:
-    """Distinct interpolated quantile edges, at most ``bins + 1`` numbers."""
+def fit_bins(df: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
+    """Distinct interpolated quantile edges per column, at most ``bins + 1`` numbers each."""
     probs = [i / bins for i in range(bins + 1)]
-    edges = linear_quantiles(df.select(column), column, probs).first()["edges"] or []
-    return sorted(set(edges))
+    edges = linear_quantiles(df, columns, probs)
+    return {c: sorted(set(edges[c])) for c in columns}
 
 
 def bin_of(column: Column, edges: Sequence[float]) -> Column:

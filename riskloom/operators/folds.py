@@ -14,6 +14,7 @@ from riskloom.functions.expressions import hash_fraction
 from riskloom.operators.joins import attach
 
 DIGITS = 12
+CELLS = 4096
 
 
 def hash_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -47,7 +48,7 @@ def _places(df: DataFrame, key: str, strata: str, seed: int, cells: int) -> Data
 
 
 def stratified_folds(
-    df: DataFrame, key: str, strata: str, k: int = 5, seed: int = 42, cells: int = 1024
+    df: DataFrame, key: str, strata: str, k: int = 5, seed: int = 42, cells: int = CELLS
 ) -> DataFrame:
     """Add ``fold``: per stratum, fold sizes differ by at most one. ``key`` is unique.
 
@@ -58,7 +59,7 @@ def stratified_folds(
 
 
 def group_folds(
-    df: DataFrame, group: str, strata: str, k: int = 5, seed: int = 42, cells: int = 1024
+    df: DataFrame, group: str, strata: str, k: int = 5, seed: int = 42, cells: int = CELLS
 ) -> DataFrame:
     """Add ``fold`` at group grain: all rows of a group share it.
 
@@ -70,7 +71,7 @@ def group_folds(
 
 
 def stratified_sample(
-    df: DataFrame, key: str, strata: str, frac: float, seed: int = 42, cells: int = 1024
+    df: DataFrame, key: str, strata: str, frac: float, seed: int = 42, cells: int = CELLS
 ) -> DataFrame:
     """The first ``round(frac * size)`` rows of every stratum in hash order."""
     placed = _places(df, key, strata, seed, cells)

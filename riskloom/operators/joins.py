@@ -37,19 +37,23 @@ def lookup(
 ) -> DataFrame:
     """Shuffle join in which keys above ``share`` of the rows take a broadcast branch.
 
-    The sketch behind ``freqItems`` keeps at most about ``1 / share`` keys and misses none above
-    the share, so the broadcast branch is bounded; every other key is joined by shuffle. ``how`` is
-    one of ``left``, ``inner``, ``left_semi``, ``left_anti``; ``dim`` has one row per key.
+    The sketch behind ``freqItems`` keeps at most about ``1 / share`` keys, so the broadcast branch
+    is bounded; every other key is joined by shuffle. The sketch reads a tenth of the rows: it
+    only decides which way a key takes, and both ways give the same rows. ``how`` is one of
+    ``left``, ``inner``, ``left_semi``, ``left_anti``; ``dim`` has one row per key, or for the two
+    last any number.
     """
     on = list(on)
     keyed = rows.withColumn(HASH, F.xxhash64(*on))
-    frequent = keyed.select(HASH).freqItems([HASH], share)
+    frequent = keyed.select(HASH).sample(0.1, seed=7).freqItems([HASH], share)
     heavy = settle(frequent.select(F.explode(f"{HASH}_freqItems").alias(HASH)))
     heavy_dim = (
         dim.withColumn(HASH, F.xxhash64(*on))
         .join(F.broadcast(heavy), HASH, "left_semi")
         .drop(HASH)
     )
+    if how in ("left_semi", "left_anti"):
+        heavy_dim = heavy_dim.select(*on).distinct()
     usual = keyed.join(F.broadcast(heavy), HASH, "left_anti").drop(HASH)
     often = keyed.join(F.broadcast(heavy), HASH, "left_semi").drop(HASH)
     return usual.join(dim, on, how).unionByName(often.join(F.broadcast(heavy_dim), on, how))
@@ -58,10 +62,13 @@ def lookup(
 def with_group_key(
     rows: DataFrame, bridge: DataFrame, on: str, carry: Sequence[str]
 ) -> DataFrame:
-    """Child rows with the keys of their grandparent; rows without a parent drop out."""
-    return attach(rows, bridge.select(on, *carry), [on], "inner")
+    """Child rows with the keys of their grandparent; rows without a parent drop out.
+
+    ``bridge`` is a stored table, so it is counted and read in place.
+    """
+    return attach(rows, bridge.select(on, *carry), [on], "inner", settled=True)
 
 
 def only_members(rows: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Rows whose key occurs in ``members``."""
-    return attach(rows, members.select(key).distinct(), [key], "left_semi")
+    """Rows whose key occurs in ``members``, a stored table in which keys may repeat."""
+    return attach(rows, members.select(key), [key], "left_semi", settled=True)

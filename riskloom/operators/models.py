@@ -242,7 +242,7 @@ def child_model_meta(
     """
     learner = learner or Learner("row_score", boosted_trees)
     text = [c for c, kind in child.select(*features).dtypes if kind == "string"]
-    child = settle(child.select(key, *features))
+    child = child.select(key, *features)
     train = attach(child, train_parents.select(key, label), [key], "inner")
     test = only_members(child, test_parents, key)
     for c in text:
@@ -298,7 +298,7 @@ def reconstruct(
     learn = lambda: GBTRegressor(
         seed=seed, featuresCol=FEATURES, labelCol="_y", predictionCol="_p", **settings
     )
-    edges = clean.fit_bins(known, column, bins)
+    edges = clean.fit_bins(known, [column], bins)[column]
     binned = known.withColumn("_bin", clean.bin_of(F.col(column), edges))
     folded = folds.stratified_folds(binned, key, "_bin", k, seed)
     target = F.col(column).cast("double")

@@ -20,13 +20,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import attach
-from riskloom.session import settle
+from riskloom.session import settle, shuffle_width
 
 SALTS = 64
 SAMPLE_POINTS = 20_000
-CELL_POINTS = 8_192
+CELL_POINTS = 2_048
 CELL_QUERIES = 8_192
 SPARE_LEVELS = 3
+MAX_LEVELS = 16
+BLOCK = 4_000_000
 
 FOUND = "site long, d2 array<double>, ids array<long>, ys array<double>"
 
@@ -107,7 +109,7 @@ class _Cuts:
 
     def __init__(self, points: DataFrame, cell_points: int):
         total = points.count()
-        levels = int(np.ceil(np.log2(max(total, 1) / cell_points)))
+        levels = min(MAX_LEVELS, int(np.ceil(np.log2(max(total, 1) / cell_points))))
         # Spare levels are for cells that tied coordinates keep from being halved.
         self.depth = levels + SPARE_LEVELS if levels > 0 else 0
         nodes = 2 ** (self.depth + 1)
@@ -117,7 +119,7 @@ class _Cuts:
             want = max(SAMPLE_POINTS, 16 * 2**levels)
             rows = points.select("vec").sample(min(1.0, 1.2 * want / total), seed=7).limit(want)
             sample = np.array([r["vec"] for r in rows.collect()], dtype=float)
-            self._cut(1, sample, max(2.0, cell_points * len(sample) / total))
+            self._cut(1, sample, max(2.0, len(sample) / 2**levels))
 
     def _cut(self, node: int, sample: np.ndarray, enough: float) -> None:
         """Cut where the smaller side is largest; a node with few sample points stays whole."""
@@ -184,18 +186,23 @@ class _Cuts:
             x = np.stack(vec.to_numpy()).astype(float)
             limit = r2.to_numpy() * (1 + 1e-9)
             home = own.to_numpy()
-            who, node = np.arange(len(x)), np.ones(len(x), dtype=int)
-            for _ in range(depth):
-                who = np.repeat(who, 2)
-                node = np.repeat(2 * node, 2)
-                node[1::2] += 1
-                gap = np.maximum(np.maximum(lo[node] - x[who], x[who] - hi[node]), 0.0)
-                keep = np.isfinite(lo[node][:, 0]) & ((gap**2).sum(axis=1) <= limit[who])
-                who, node = who[keep], node[keep]
-            keep = node != home[who]
-            who, node = who[keep], node[keep].astype("int32")
-            cut = np.searchsorted(who, np.arange(len(x) + 1))
-            return pd.Series([node[a:b] for a, b in zip(cut[:-1], cut[1:])])
+            found = []
+            step = max(1, BLOCK // (2**depth * x.shape[1]))
+            for start in range(0, len(x), step):
+                block = np.arange(start, min(start + step, len(x)))
+                who, node = block, np.ones(len(block), dtype=int)
+                for _ in range(depth):
+                    who = np.repeat(who, 2)
+                    node = np.repeat(2 * node, 2)
+                    node[1::2] += 1
+                    gap = np.maximum(np.maximum(lo[node] - x[who], x[who] - hi[node]), 0.0)
+                    keep = np.isfinite(lo[node][:, 0]) & ((gap**2).sum(axis=1) <= limit[who])
+                    who, node = who[keep], node[keep]
+                keep = node != home[who]
+                who, node = who[keep], node[keep].astype("int32")
+                cut = np.searchsorted(who, np.append(block, block[-1] + 1))
+                found += [node[a:b] for a, b in zip(cut[:-1], cut[1:])]
+            return pd.Series(found)
 
         return sites.select(
             "site", *place, "r2", F.explode(cells("vec", "r2", "cell")).alias("cell")
@@ -231,15 +238,16 @@ def _search(
             ys = offered_pdf["y"].to_numpy()
             q = np.stack(asked_pdf["vec"].to_numpy()).astype(float)
             sites, limits = asked_pdf["site"].to_numpy(), asked_pdf["r2"].to_numpy()
-            for start in range(0, len(q), 128):
-                block = q[start : start + 128]
+            step = max(1, BLOCK // len(r))
+            for start in range(0, len(q), step):
+                block = q[start : start + step]
                 d2 = np.zeros((len(block), len(r)))
                 for j in range(q.shape[1]):
                     d2 += (block[:, j][:, None] - r[:, j][None, :]) ** 2
                 if by_fold:
-                    own = asked_pdf["fold"].to_numpy()[start : start + 128]
+                    own = asked_pdf["fold"].to_numpy()[start : start + step]
                     d2[own[:, None] == offered_pdf["fold"].to_numpy()[None, :]] = np.inf
-                limit = limits[start : start + 128]
+                limit = limits[start : start + step]
                 if len(r) > most:
                     kth = np.partition(d2, most - 1, axis=1)[:, most - 1]
                     limit = np.minimum(limit, kth)
@@ -250,9 +258,13 @@ def _search(
                         rows.append((sites[start + i], row[at], ids[at], ys[at]))
         return pd.DataFrame(rows, columns=["site", "d2", "ids", "ys"])
 
+    # A fixed number of tasks: the work grows with the product of both sides, not with the bytes
+    # that adaptive execution would merge small partitions by.
+    width = shuffle_width(queries)
     return (
-        asked.groupBy("cell", "part")
-        .cogroup(offered.groupBy("cell", "part"))
+        asked.repartition(width, "cell", "part")
+        .groupBy("cell", "part")
+        .cogroup(offered.repartition(width, "cell", "part").groupBy("cell", "part"))
         .applyInPandas(nearest, FOUND)
     )
 

@@ -8,13 +8,14 @@ of at most ``2 * partitions`` rows and is broadcast.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import attach
-from riskloom.session import settle, shuffle_width
+from riskloom.session import settle, shuffle_width, write_out
 
 SLICE = "_slice"
 
@@ -34,7 +35,7 @@ def running_totals(
     ``order`` must be unique inside a group; aggregate by it first. Nulls sort first.
     """
     group = list(group)
-    laid = settle(
+    laid = write_out(
         df.repartitionByRange(shuffle_width(df), *group, *order).withColumn(
             SLICE, F.spark_partition_id()
         )
@@ -106,34 +107,31 @@ def nearest_quantile(
     ).select(*group, F.col(value).alias(out))
 
 
-def linear_quantiles(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
-    """One row, array column ``edges``: exact interpolated quantiles of the whole column."""
-    ranked = running_totals(value_counts(df, value), [value], ["n"])
-    wanted = F.array(*[F.lit(float(p)) for p in probs])
-    spread = ranked.select(
-        F.col(value).cast("double").alias("v"),
-        "n_before",
-        "n",
-        "n_total",
-        F.posexplode(wanted).alias("i", "p"),
-    ).withColumn("place", F.col("p") * (F.col("n_total") - 1))
-    covers = lambda at: (F.col("n_before") <= at) & (at < F.col("n_before") + F.col("n"))
-    low, high = F.floor("place"), F.ceil("place")
-    picked = (
-        spread.filter(covers(low) | covers(high))
-        .groupBy("i")
-        .agg(
-            F.max(F.when(covers(low), F.col("v"))).alias("lo"),
-            F.max(F.when(covers(high), F.col("v"))).alias("hi"),
-            F.max(F.col("place") - F.floor("place")).alias("frac"),
-        )
-        .select("i", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("edge"))
-    )
-    return picked.agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("i", "edge"))), lambda s: s["edge"]
-        ).alias("edges")
-    )
+def linear_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
+) -> dict[str, list[float]]:
+    """Exact interpolated quantiles of whole columns, a few numbers each; none for all-null.
+
+    All columns share one layout; only the values at the wanted places leave it.
+    """
+    ranked = running_totals(
+        value_counts(_long(df, columns), "value", ["name"]), ["value"], ["n"], ["name"]
+    )
+    places = [F.lit(float(p)) * (F.col("n_total") - 1) for p in probs]
+    wanted = F.array_distinct(F.array(*[f(p) for p in places for f in (F.floor, F.ceil)]))
+    here = F.filter(
+        wanted, lambda at: (F.col("n_before") <= at) & (at < F.col("n_before") + F.col("n"))
+    )
+    picked = ranked.select("name", "value", "n_total", F.explode(here).alias("at")).collect()
+    value = {(r["name"], r["at"]): r["value"] for r in picked}
+    size = {r["name"]: r["n_total"] for r in picked}
+    out: dict[str, list[float]] = {c: [] for c in columns}
+    for c, n in size.items():
+        for p in probs:
+            place = float(p) * (n - 1)
+            low, high = value[c, math.floor(place)], value[c, math.ceil(place)]
+            out[c].append(low + (high - low) * (place - math.floor(place)))
+    return out
 
 
 def rank_maps(df: DataFrame, scores: Sequence[str]) -> DataFrame:

@@ -271,9 +271,10 @@ def rowwise_stats(spark, sf):
 )
 def decile_bins(spark, sf):
     lines = table(spark, sf, "lineitem")
+    edges = C.fit_bins(lines, ["l_quantity", "l_discount"], 10)
     bins = {
-        out: C.bin_of(F.col(c), C.fit_bins(lines, c, 10))
-        for out, c in {"q_bin": "l_quantity", "d_bin": "l_discount"}.items()
+        "q_bin": C.bin_of(F.col("l_quantity"), edges["l_quantity"]),
+        "d_bin": C.bin_of(F.col("l_discount"), edges["l_discount"]),
     }
     return G.to_parent(
         lines.withColumns(bins),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,5 +49,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_out(df: DataFrame) -> DataFrame:
+    """Like ``settle`` for large results: a columnar table in the shared folder, read back.
+
+    Later reads take only the columns they need, and the planner sees the real size.
+    """
+    path = f"{shared_folder(df.sparkSession)}/riskloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
