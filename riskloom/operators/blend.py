@@ -36,23 +36,30 @@ def _spread(
 ) -> DataFrame:
     """Rows times grid vectors as ``(wid, y, blended)``, ids in lexicographic order of the vector.
 
-    The vectors are generated next to the rows; only partial counts of the result are shuffled.
-    Each row becomes many, so the rows are first spread over all tasks.
+    The vectors are generated next to the rows, all of them or the ``alive`` ones; only partial
+    counts of the result are shuffled. Each row becomes many, so the rows are first spread over
+    all tasks.
     """
     rows = df.select(F.col(label).cast("int").alias("y"), *scores).repartition(shuffle_width(df))
+    leading, base = range(len(scores) - 1), units + 1
+    if alive:
+        listed = F.split(F.lit(",".join(map(str, alive))), ",").cast("array<bigint>")
+        rows = rows.withColumn("wid", F.explode(listed))
+        place = lambda j: F.floor(F.col("wid") / F.lit(base ** (len(leading) - 1 - j)))
+        rows = rows.withColumns({f"_u{j}": (place(j) % base).cast("int") for j in leading})
     left, wid, terms = F.lit(units), F.lit(0), []
-    for j, s in enumerate(scores[:-1]):
-        rows = rows.withColumn(f"_u{j}", F.explode(F.sequence(F.lit(0), left)))
+    for j in leading:
+        if not alive:
+            rows = rows.withColumn(f"_u{j}", F.explode(F.sequence(F.lit(0), left)))
         unit = F.col(f"_u{j}")
-        left, wid = left - unit, wid * (units + 1) + unit
-        terms.append(unit / F.lit(float(units)) * F.col(s).cast("double"))
+        left, wid = left - unit, wid * base + unit
+        terms.append(unit / F.lit(float(units)) * F.col(scores[j]).cast("double"))
     terms.append(left / F.lit(float(units)) * F.col(scores[-1]).cast("double"))
-    out = rows.select(wid.cast("long").alias("wid"), "y", reduce(add, terms).alias("blended"))
-    return out.filter(F.col("wid").isin(*alive)) if alive else out
+    return rows.select(wid.cast("long").alias("wid"), "y", reduce(add, terms).alias("blended"))
 
 
 def grid_bounds(
-    df: DataFrame, label: str, scores: Sequence[str], units: int, bins: int = 2000
+    df: DataFrame, label: str, scores: Sequence[str], units: int, bins: int = 256
 ) -> DataFrame:
     """``(wid, lower, upper)``: certain limits of each blend's AUC from binned blends.
 
@@ -96,7 +103,7 @@ def grid_bounds(
 
 
 def simplex_blend(
-    df: DataFrame, label: str, scores: Sequence[str], step: float = 0.05, bins: int = 2000
+    df: DataFrame, label: str, scores: Sequence[str], step: float = 0.05, bins: int = 256
 ) -> tuple[dict[str, float], float]:
     """The grid's best weights and their exact AUC; the first vector wins a tie.
 

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def knn_target_mean(
     )
     reach = F.when(F.size("d2") >= most, F.element_at("d2", -1)).otherwise(F.lit(float("inf")))
     radius = home.select("site", reach.alias("r2"))
-    # A home cell without any reference yields no row: its queries look everywhere.
+    # A home cell without references yields no row: its queries look everywhere.
     limited = sites.join(radius, "site", "left").withColumn(
         "r2", F.coalesce("r2", F.lit(float("inf")))
     )
@@ -229,34 +230,63 @@ def _search(
         "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     )
 
-    def nearest(asked_pdf: pd.DataFrame, offered_pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(asked_pdf) and len(offered_pdf):
-            offered_pdf = offered_pdf.sort_values("id", kind="stable")
-            r = np.stack(offered_pdf["vec"].to_numpy()).astype(float)
-            ids = offered_pdf["id"].to_numpy()
-            ys = offered_pdf["y"].to_numpy()
-            q = np.stack(asked_pdf["vec"].to_numpy()).astype(float)
-            sites, limits = asked_pdf["site"].to_numpy(), asked_pdf["r2"].to_numpy()
-            step = max(1, BLOCK // len(r))
-            for start in range(0, len(q), step):
-                block = q[start : start + step]
-                d2 = np.zeros((len(block), len(r)))
-                for j in range(q.shape[1]):
-                    d2 += (block[:, j][:, None] - r[:, j][None, :]) ** 2
-                if by_fold:
-                    own = asked_pdf["fold"].to_numpy()[start : start + step]
-                    d2[own[:, None] == offered_pdf["fold"].to_numpy()[None, :]] = np.inf
-                limit = limits[start : start + step]
-                if len(r) > most:
-                    kth = np.partition(d2, most - 1, axis=1)[:, most - 1]
-                    limit = np.minimum(limit, kth)
-                for i, row in enumerate(d2):
-                    at = np.flatnonzero((row <= limit[i]) & np.isfinite(row))
-                    at = at[np.argsort(row[at], kind="stable")][:most]
-                    if len(at):
-                        rows.append((sites[start + i], row[at], ids[at], ys[at]))
-        return pd.DataFrame(rows, columns=["site", "d2", "ids", "ys"])
+    empty = pa.schema(
+        [("site", pa.int64()), ("d2", pa.list_(pa.float64())),
+         ("ids", pa.list_(pa.int64())), ("ys", pa.list_(pa.float64()))]
+    ).empty_table()
+    block_cells = BLOCK
+
+    def nearest(asked_table: pa.Table, offered_table: pa.Table) -> pa.Table:
+        n, m = asked_table.num_rows, offered_table.num_rows
+        if not n or not m:
+            return empty
+
+        def numbers(table: pa.Table, name: str) -> np.ndarray:
+            return table[name].combine_chunks().to_numpy(zero_copy_only=False)
+
+        def places(table: pa.Table) -> np.ndarray:
+            flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            return flat.reshape(table.num_rows, -1).astype(float)
+
+        # References in id order: a stable sort by distance then settles ties by id.
+        by_id = np.argsort(numbers(offered_table, "id"), kind="stable")
+        r, q = places(offered_table)[by_id], places(asked_table)
+        ids, ys = numbers(offered_table, "id")[by_id], numbers(offered_table, "y")[by_id]
+        limits = numbers(asked_table, "r2")
+        sizes, d2s, chosen = [], [], []
+        step = max(1, block_cells // m)
+        for start in range(0, n, step):
+            block = slice(start, start + step)
+            d2 = np.zeros((len(q[block]), m))
+            for j in range(q.shape[1]):
+                d2 += (q[block, j][:, None] - r[:, j][None, :]) ** 2
+            if by_fold:
+                own = numbers(asked_table, "fold")[block]
+                d2[own[:, None] == numbers(offered_table, "fold")[by_id][None, :]] = np.inf
+            if m > most:
+                at = np.argpartition(d2, most - 1, axis=1)[:, :most]
+                at.sort(axis=1)
+                kth = np.take_along_axis(d2, at, axis=1).max(axis=1)
+                # Where more points tie at the last place, take those with the smallest ids.
+                for i in np.flatnonzero((d2 <= kth[:, None]).sum(axis=1) > most):
+                    at[i] = np.argsort(d2[i], kind="stable")[:most]
+            else:
+                at = np.broadcast_to(np.arange(m), d2.shape)
+            near = np.take_along_axis(d2, at, axis=1)
+            order = np.argsort(near, axis=1, kind="stable")
+            at, near = np.take_along_axis(at, order, axis=1), np.take_along_axis(near, order, axis=1)
+            keep = (near <= limits[block][:, None]) & np.isfinite(near)
+            sizes.append(keep.sum(axis=1))
+            d2s.append(near[keep])
+            chosen.append(at[keep])
+        cuts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype("int32")
+        at = np.concatenate(chosen)
+        lists = [np.concatenate(d2s), ids[at].astype("int64"), ys[at].astype(float)]
+        return pa.table(
+            [asked_table["site"].cast(pa.int64())]
+            + [pa.ListArray.from_arrays(pa.array(cuts), pa.array(v)) for v in lists],
+            schema=empty.schema,
+        )
 
     # A fixed number of tasks: the work grows with the product of both sides, not with the bytes
     # that adaptive execution would merge small partitions by.
@@ -265,7 +295,7 @@ def _search(
         asked.repartition(width, "cell", "part")
         .groupBy("cell", "part")
         .cogroup(offered.repartition(width, "cell", "part").groupBy("cell", "part"))
-        .applyInPandas(nearest, FOUND)
+        .applyInArrow(nearest, FOUND)
     )
 
 
