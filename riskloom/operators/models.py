@@ -79,7 +79,13 @@ def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> Dat
 
 
 def positive_probability(model, df: DataFrame, out: str) -> DataFrame:
-    """Add the probability of label 1 and drop the other outputs of the model."""
+    """Add the probability of label 1 and drop the other outputs of the model.
+
+    A training summary is cut off first: it holds the session and the training rows, and would be
+    shipped with every scoring task.
+    """
+    if getattr(model, "hasSummary", False):
+        model._java_obj.setSummary(df.sparkSession.sparkContext._jvm.scala.Option.empty())
     scored = model.transform(df)
     added = [c for c in scored.columns if c not in df.columns]
     return scored.withColumn(out, vector_to_array("probability")[1]).drop(*added)
@@ -178,7 +184,7 @@ def adversarial(
     threshold: float = DRIFT_AUC,
 ) -> tuple[float, bool, DataFrame]:
     """How well train and test rows can be told apart: AUC, drift flag, strongest columns."""
-    learner = learner or Learner("origin", boosted_trees)
+    learner = learner or Learner("p_test", boosted_trees)
     both = (
         train.select(key, *features)
         .withColumn("origin", F.lit(0))
