@@ -4,8 +4,10 @@
    ids: no query can use more of them, so a third of all rows on one point costs nothing.
 2. A balanced tree of medians, built from a bounded sample, cuts space into cells of limited size.
    The sample only places the cuts; the answer does not depend on it.
-3. Round one searches the query's own cell and yields a radius that is certain to hold all
-   neighbours. Round two visits just the other cells whose bounding box touches that radius.
+3. Round one searches each query's own cell and yields a radius that is certain to hold all
+   neighbours. Round two brings to the queries of a cell the points of those cells that some
+   query's radius touches, and only sums leave the task. Where that would be too many points for
+   one task, they are taken in chunks and the chunks' nearest points are merged.
 
 Queries at the same coordinates are searched once. Ties are settled by id.
 """
@@ -31,8 +33,7 @@ SPARE_LEVELS = 3
 MAX_LEVELS = 16
 BLOCK = 4_000_000
 
-FOUND = "site long, d2 array<double>, ids array<long>, ys array<double>"
-
+CHUNK_CELLS = 128
 
 def vector(columns: Sequence[str]) -> Column:
     """Numeric columns as one coordinate array."""
@@ -46,6 +47,7 @@ def knn_target_mean(
     exclude: str | None = None,
     cell_points: int = CELL_POINTS,
     cell_queries: int = CELL_QUERIES,
+    chunk_cells: int = CHUNK_CELLS,
 ) -> DataFrame:
     """``(id, KNN_TARGET_MEAN_K<k>...)`` for every query.
 
@@ -65,30 +67,23 @@ def knn_target_mean(
     tree.measure(points)
 
     sites = queries.groupBy(*place).agg(F.min("id").alias("site"))
-    sites = settle(sites.withColumn("cell", tree.cell_of()))
+    sites = settle(_blocks(sites.withColumn("cell", tree.cell_of()), cell_queries))
     sites = sites.toDF(*sites.columns)  # new column identities: queries may derive from refs
-
-    home = settle(
-        _search(sites.withColumn("r2", F.lit(float("inf"))), points, most, by_fold, cell_queries)
-    )
-    reach = F.when(F.size("d2") >= most, F.element_at("d2", -1)).otherwise(F.lit(float("inf")))
-    radius = home.select("site", reach.alias("r2"))
-    # A home cell without references yields no row: its queries look everywhere.
-    limited = sites.join(radius, "site", "left").withColumn(
-        "r2", F.coalesce("r2", F.lit(float("inf")))
-    )
     if tree.depth:
-        away = tree.touched(limited, place)
-        found = home.unionByName(_search(away, points, most, by_fold, cell_queries))
+        within = _radius(sites, points, most, by_fold)
+        # A home cell without references yields no radius: its queries look everywhere.
+        sites = settle(
+            sites.join(within, "site", "left").withColumn(
+                "r2", F.coalesce("r2", F.lit(float("inf")))
+            )
+        )
+        touched = tree.touched(sites)
     else:
-        found = home
-    merged = found.groupBy("site").agg(
-        F.slice(
-            F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d2", "ids", "ys")))), 1, most
-        ).alias("near")
-    )
-    answers = sites.select("site", *place).join(merged, "site", "left")
-    return _means(queries, answers, place, ks, exclude == "self")
+        sites = sites.withColumn("r2", F.lit(float("inf")))
+        touched = sites.select("cell", "sub", F.lit(1).alias("from_cell"))
+    facts = _nearest(sites, points, touched.distinct(), ks, most, by_fold, chunk_cells)
+    return _means(queries, sites.select("site", *place).join(facts, "site", "left"), place, ks,
+                  exclude == "self")
 
 
 def _thin(refs: DataFrame, place: list[str], most: int) -> DataFrame:
@@ -175,164 +170,234 @@ class _Cuts:
             self.lo[node] = np.minimum(self.lo[2 * node], self.lo[2 * node + 1])
             self.hi[node] = np.maximum(self.hi[2 * node], self.hi[2 * node + 1])
 
-    def touched(self, sites: DataFrame, place: list[str]) -> DataFrame:
-        """Sites repeated for every foreign cell whose box lies within their radius."""
+    def touched(self, sites: DataFrame) -> DataFrame:
+        """``(cell, sub, from_cell)``: cells whose box lies within the radius of a query."""
         context = sites.sparkSession.sparkContext
         boxes = context.broadcast((self.lo, self.hi))
-        depth = self.depth
+        depth, block_cells = self.depth, BLOCK
 
         @F.pandas_udf("array<int>")
-        def cells(vec: pd.Series, r2: pd.Series, own: pd.Series) -> pd.Series:
+        def cells(vec: pd.Series, r2: pd.Series) -> pd.Series:
             lo, hi = boxes.value
             x = np.stack(vec.to_numpy()).astype(float)
             limit = r2.to_numpy() * (1 + 1e-9)
-            home = own.to_numpy()
             found = []
-            step = max(1, BLOCK // (2**depth * x.shape[1]))
+            step = max(1, block_cells // (2**depth * x.shape[1]))
             for start in range(0, len(x), step):
-                block = np.arange(start, min(start + step, len(x)))
-                who, node = block, np.ones(len(block), dtype=int)
+                who = np.arange(start, min(start + step, len(x)))
+                ends, node = np.append(who, who[-1] + 1), np.ones(len(who), dtype=int)
                 for _ in range(depth):
                     who = np.repeat(who, 2)
                     node = np.repeat(2 * node, 2)
                     node[1::2] += 1
                     gap = np.maximum(np.maximum(lo[node] - x[who], x[who] - hi[node]), 0.0)
                     keep = np.isfinite(lo[node][:, 0]) & ((gap**2).sum(axis=1) <= limit[who])
-                    who, node = who[keep], node[keep]
-                keep = node != home[who]
-                who, node = who[keep], node[keep].astype("int32")
-                cut = np.searchsorted(who, np.append(block, block[-1] + 1))
+                    who, node = who[keep], node[keep].astype("int32")
+                cut = np.searchsorted(who, ends)
                 found += [node[a:b] for a, b in zip(cut[:-1], cut[1:])]
             return pd.Series(found)
 
-        return sites.select(
-            "site", *place, "r2", F.explode(cells("vec", "r2", "cell")).alias("cell")
-        )
-
+        return sites.select("cell", "sub", F.explode(cells("vec", "r2")).alias("from_cell"))
 
-def _search(
-    queries: DataFrame, points: DataFrame, most: int, by_fold: bool, cell_queries: int
-) -> DataFrame:
-    """Nearest points of each query inside its ``cell``, no farther than ``r2``.
 
-    A cell with many queries is split, and its points repeated for each part.
-    """
+def _blocks(sites: DataFrame, cell_queries: int) -> DataFrame:
+    """Add ``sub``: a cell with many queries is split into parts of limited size."""
     parts = (
-        queries.groupBy("cell")
+        sites.groupBy("cell")
         .count()
-        .select("cell", F.ceil(F.col("count") / cell_queries).cast("int").alias("parts"))
-    )
-    parts = F.broadcast(settle(parts))
-    asked = queries.join(parts, "cell").withColumn(
-        "part", F.pmod(F.xxhash64("site"), F.col("parts").cast("long")).cast("int")
+        .select("cell", F.ceil(F.col("count") / cell_queries).alias("parts"))
     )
-    offered = points.join(parts, "cell").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    sub = F.pmod(F.xxhash64("site"), F.col("parts")).cast("int")
+    return sites.join(parts, "cell").withColumn("sub", sub).drop("parts")
+
+
+def _both_sides(asked: DataFrame, offered: DataFrame, *keys: str):
+    """Co-grouped sides over a fixed number of tasks.
+
+    The work grows with the product of both sides, not with the bytes that adaptive execution
+    would merge small partitions by.
+    """
+    width = shuffle_width(asked)
+    offered = offered.toDF(*offered.columns)  # new column identities: both sides share ancestors
+    return (
+        asked.repartition(width, *keys)
+        .groupBy(*keys)
+        .cogroup(offered.repartition(width, *keys).groupBy(*keys))
     )
 
-    empty = pa.schema(
-        [("site", pa.int64()), ("d2", pa.list_(pa.float64())),
-         ("ids", pa.list_(pa.int64())), ("ys", pa.list_(pa.float64()))]
-    ).empty_table()
-    block_cells = BLOCK
 
-    def nearest(asked_table: pa.Table, offered_table: pa.Table) -> pa.Table:
-        n, m = asked_table.num_rows, offered_table.num_rows
-        if not n or not m:
-            return empty
+def _distances(by_fold: bool):
+    """A function of two Arrow tables that yields blocks of squared distances."""
+    block_cells = BLOCK
 
-        def numbers(table: pa.Table, name: str) -> np.ndarray:
-            return table[name].combine_chunks().to_numpy(zero_copy_only=False)
-
-        def places(table: pa.Table) -> np.ndarray:
-            flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            return flat.reshape(table.num_rows, -1).astype(float)
-
-        # References in id order: a stable sort by distance then settles ties by id.
-        by_id = np.argsort(numbers(offered_table, "id"), kind="stable")
-        r, q = places(offered_table)[by_id], places(asked_table)
-        ids, ys = numbers(offered_table, "id")[by_id], numbers(offered_table, "y")[by_id]
-        limits = numbers(asked_table, "r2")
-        sizes, d2s, chosen = [], [], []
-        step = max(1, block_cells // m)
-        for start in range(0, n, step):
-            block = slice(start, start + step)
-            d2 = np.zeros((len(q[block]), m))
+    def numbers(table: pa.Table, name: str) -> np.ndarray:
+        return table[name].combine_chunks().to_numpy(zero_copy_only=False)
+
+    def places(table: pa.Table) -> np.ndarray:
+        flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        return flat.reshape(table.num_rows, -1).astype(float)
+
+    def blocks(asked: pa.Table, offered: pa.Table, limits: np.ndarray):
+        """``(queries, points, d2)``: points in id order, those far from all queries left out."""
+        points = np.argsort(numbers(offered, "id"), kind="stable")
+        r, q = places(offered)[points], places(asked)
+        fold = (numbers(asked, "fold"), numbers(offered, "fold")[points]) if by_fold else None
+        near_first = np.argsort(q[:, int(np.argmax(np.ptp(q, axis=0)))], kind="stable")
+        step = max(1, min(256, block_cells // len(r)))
+        for start in range(0, len(q), step):
+            who = near_first[start : start + step]
+            reach = np.sqrt(limits[who].max()) * (1 + 1e-9)
+            inside = (r >= q[who].min(axis=0) - reach) & (r <= q[who].max(axis=0) + reach)
+            at = np.flatnonzero(inside.all(axis=1))
+            d2 = np.zeros((len(who), len(at)))
             for j in range(q.shape[1]):
-                d2 += (q[block, j][:, None] - r[:, j][None, :]) ** 2
+                d2 += (q[who, j][:, None] - r[at, j][None, :]) ** 2
             if by_fold:
-                own = numbers(asked_table, "fold")[block]
-                d2[own[:, None] == numbers(offered_table, "fold")[by_id][None, :]] = np.inf
-            if m > most:
-                at = np.argpartition(d2, most - 1, axis=1)[:, :most]
-                at.sort(axis=1)
-                kth = np.take_along_axis(d2, at, axis=1).max(axis=1)
-                # Where more points tie at the last place, take those with the smallest ids.
-                for i in np.flatnonzero((d2 <= kth[:, None]).sum(axis=1) > most):
-                    at[i] = np.argsort(d2[i], kind="stable")[:most]
-            else:
-                at = np.broadcast_to(np.arange(m), d2.shape)
-            near = np.take_along_axis(d2, at, axis=1)
-            order = np.argsort(near, axis=1, kind="stable")
-            at, near = np.take_along_axis(at, order, axis=1), np.take_along_axis(near, order, axis=1)
-            keep = (near <= limits[block][:, None]) & np.isfinite(near)
-            sizes.append(keep.sum(axis=1))
-            d2s.append(near[keep])
-            chosen.append(at[keep])
-        cuts = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype("int32")
-        at = np.concatenate(chosen)
-        lists = [np.concatenate(d2s), ids[at].astype("int64"), ys[at].astype(float)]
+                d2[fold[0][who][:, None] == fold[1][at][None, :]] = np.inf
+            yield who, points[at], d2
+
+    return numbers, blocks
+
+
+def _radius(sites: DataFrame, points: DataFrame, most: int, by_fold: bool) -> DataFrame:
+    """``(site, r2)``: the squared distance that holds ``most`` points of the query's own cell."""
+    subs = sites.groupBy("cell").agg(F.max("sub").alias("subs"))
+    offered = points.join(subs, "cell").withColumn(
+        "sub", F.explode(F.sequence(F.lit(0), F.col("subs")))
+    )
+    numbers, blocks = _distances(by_fold)
+
+    def radius(asked: pa.Table, offered: pa.Table) -> pa.Table:
+        found = np.full(asked.num_rows, np.inf)
+        if asked.num_rows and offered.num_rows >= most:
+            for who, _, d2 in blocks(asked, offered, found):
+                found[who] = np.partition(d2, most - 1, axis=1)[:, most - 1]
+        return pa.table({"site": asked["site"].cast(pa.int64()), "r2": pa.array(found)})
+
+    return _both_sides(sites, offered, "cell", "sub").applyInArrow(radius, "site long, r2 double")
+
+
+def _ranks(ks: Sequence[int], most: int) -> list[int]:
+    """Every ``k``, and every ``k + 1`` where a query may have to leave itself out."""
+    return sorted({*ks, *(k + 1 for k in ks if most > max(ks))})
+
+
+def _nearest(
+    sites: DataFrame,
+    points: DataFrame,
+    touched: DataFrame,
+    ks: Sequence[int],
+    most: int,
+    by_fold: bool,
+    chunk_cells: int,
+) -> DataFrame:
+    """``(site, n, sums, zero_ids, zero_ys)`` per query site.
+
+    ``sums`` holds the label sum of the nearest points at every rank of ``_ranks``, ``n`` how many
+    points there are at most, ``zero_*`` the points at distance 0 in id order.
+    """
+    ranks = _ranks(ks, most)
+    in_block = Window.partitionBy("cell", "sub")
+    chunked = touched.withColumn(
+        "chunk",
+        F.floor((F.row_number().over(in_block.orderBy("from_cell")) - 1) / chunk_cells).cast("int"),
+    )
+    chunked = settle(chunked.withColumn("chunks", F.max("chunk").over(in_block) + 1))
+    offered = points.withColumnRenamed("cell", "from_cell").join(chunked, "from_cell")
+    asked = sites.join(chunked.select("cell", "sub", "chunk", "chunks").distinct(), ["cell", "sub"])
+    schema = (
+        "site long, n int, sums array<double>, zero_ids array<long>, zero_ys array<double>, "
+        "chunks int, d2 array<double>, ids array<long>, ys array<double>"
+    )
+    empty = pa.table({
+        "site": pa.array([], pa.int64()), "n": pa.array([], pa.int32()),
+        **{c: pa.array([], pa.list_(kind)) for c, kind in (
+            ("sums", pa.float64()), ("zero_ids", pa.int64()), ("zero_ys", pa.float64()))},
+        "chunks": pa.array([], pa.int32()),
+        **{c: pa.array([], pa.list_(kind)) for c, kind in (
+            ("d2", pa.float64()), ("ids", pa.int64()), ("ys", pa.float64()))},
+    })
+    numbers, blocks = _distances(by_fold)
+
+    def search(asked: pa.Table, offered: pa.Table) -> pa.Table:
+        if not asked.num_rows or not offered.num_rows:
+            return empty
+        limits, every_id = numbers(asked, "r2"), numbers(offered, "id")
+        every_y = numbers(offered, "y").astype(float)
+        chunks = int(numbers(asked, "chunks")[0])
+        sites_of = numbers(asked, "site").astype("int64")
+        rows = []
+        for who, at, d2 in blocks(asked, offered, limits):
+            ids, ys = every_id[at], every_y[at]
+            for i, row in zip(who, d2):
+                near = np.flatnonzero((row <= limits[i]) & np.isfinite(row))
+                if len(near) > most:
+                    kth = np.partition(row[near], most - 1)[most - 1]
+                    near = near[row[near] <= kth]
+                # Points are in id order, so a stable sort settles ties by id.
+                near = near[np.argsort(row[near], kind="stable")][:most]
+                if not len(near):
+                    continue
+                d, y = row[near], ys[near]
+                running = np.cumsum(y)
+                zero = int(np.searchsorted(d, 0.0, side="right"))
+                alone = chunks == 1
+                rows.append((
+                    sites_of[i], len(near),
+                    running[np.minimum(ranks, len(near)) - 1] if alone else (),
+                    ids[near[:zero]] if alone else (), y[:zero] if alone else (), chunks,
+                    () if alone else d, () if alone else ids[near], () if alone else y,
+                ))
+        if not rows:
+            return empty
         return pa.table(
-            [asked_table["site"].cast(pa.int64())]
-            + [pa.ListArray.from_arrays(pa.array(cuts), pa.array(v)) for v in lists],
+            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), empty.schema)],
             schema=empty.schema,
         )
 
-    # A fixed number of tasks: the work grows with the product of both sides, not with the bytes
-    # that adaptive execution would merge small partitions by.
-    width = shuffle_width(queries)
-    return (
-        asked.repartition(width, "cell", "part")
-        .groupBy("cell", "part")
-        .cogroup(offered.repartition(width, "cell", "part").groupBy("cell", "part"))
-        .applyInArrow(nearest, FOUND)
+    found = _both_sides(asked, offered, "cell", "sub", "chunk").applyInArrow(search, schema)
+    found = settle(found)
+    alone = found.filter("chunks = 1").select("site", "n", "sums", "zero_ids", "zero_ys")
+    near = F.slice(
+        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d2", "ids", "ys")))), 1, most
+    )
+    merged = found.filter("chunks > 1").groupBy("site").agg(near.alias("near"))
+
+    def upto(rank: int) -> Column:
+        return F.aggregate(F.slice("near", 1, rank), F.lit(0.0), lambda acc, p: acc + p["ys"])
+
+    zero = F.filter("near", lambda p: p["d2"] == 0.0)
+    return alone.unionByName(
+        merged.select(
+            "site",
+            F.size("near").alias("n"),
+            F.array(*[upto(r) for r in ranks]).alias("sums"),
+            F.transform(zero, lambda p: p["ids"]).alias("zero_ids"),
+            F.transform(zero, lambda p: p["ys"]).alias("zero_ys"),
+        )
     )
 
 
 def _means(
     queries: DataFrame, answers: DataFrame, place: list[str], ks: Sequence[int], self_out: bool
 ) -> DataFrame:
-    names = [f"KNN_TARGET_MEAN_K{k}" for k in ks]
-
-    def over(near: Column, k: int) -> Column:
-        first = F.slice(near, 1, k)
-        total = F.aggregate(first, F.lit(0.0), lambda acc, p: acc + p["ys"])
-        return F.try_divide(total, F.size(first))
-
-    near = F.col("near")
-    common = F.struct(*[over(near, k).alias(n) for k, n in zip(ks, names)])
-    facts = answers.select(*place, near.alias("near"), common.alias("common"))
-    if not self_out:
-        out = attach(queries.select("id", *place), facts.drop("near"), place)
-        return out.select("id", *[F.col(f"common.{n}").alias(n) for n in names])
-
-    # Only a reference at distance 0 can be the query itself; those few get their own means.
-    at_zero = F.filter(near, lambda p: p["d2"] == 0.0)
-    own = F.map_from_arrays(
-        F.transform(at_zero, lambda p: p["ids"]),
-        F.transform(
-            at_zero,
-            lambda p: F.struct(
-                *[
-                    over(F.filter(near, lambda o: o["ids"] != p["ids"]), k).alias(n)
-                    for k, n in zip(ks, names)
-                ]
-            ),
-        ),
-    )
-    facts = facts.withColumn("own", own).drop("near")
-    out = attach(queries.select("id", *place), facts, place)
-    pick = F.coalesce(F.try_element_at("own", F.col("id")), F.col("common"))
-    return out.select("id", pick.alias("m")).select(
-        "id", *[F.col(f"m.{n}").alias(n) for n in names]
-    )
+    """The facts of a site turned into means for each of its queries."""
+    rows = attach(queries.select("id", *place), answers.drop("site"), place)
+    ranks = _ranks(ks, max(ks) + 1 if self_out else max(ks))
+    n = F.col("n")
+
+    def upto(rank: int) -> Column:
+        return F.get("sums", F.lit(ranks.index(rank)))
+
+    # Its own place among the points at distance 0 tells whether a query is its own neighbour.
+    mine = F.coalesce(F.array_position("zero_ids", F.col("id")), F.lit(0)) if self_out else F.lit(0)
+    rows = rows.withColumn("_mine", mine.cast("int"))
+    own = F.get("zero_ys", F.col("_mine") - 1)
+    means = {}
+    for k in ks:
+        mean = F.try_divide(upto(k), F.least(n, F.lit(k)))
+        if self_out:
+            others = F.try_divide(upto(k + 1) - own, F.least(n, F.lit(k + 1)) - 1)
+            mean = F.when((F.col("_mine") > 0) & (F.col("_mine") <= k), others).otherwise(mean)
+        means[f"KNN_TARGET_MEAN_K{k}"] = mean
+    return rows.select("id", *[m.alias(name) for name, m in means.items()])

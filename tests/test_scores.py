@@ -166,8 +166,8 @@ def knn_case(kind):
 
 @pytest.mark.parametrize("kind", ["spread", "tied"])
 @pytest.mark.parametrize("exclude", ["self", "fold", None])
-@pytest.mark.parametrize("cell", [8192, 40])
-def test_knn_against_brute_force(spark, kind, exclude, cell):
+@pytest.mark.parametrize("cell,chunk", [(8192, 128), (40, 128), (40, 2)])
+def test_knn_against_brute_force(spark, kind, exclude, cell, chunk):
     rows, ks = knn_case(kind), [3, 10]
     schema = "id int, vec array<double>, y int, fold int"
     refs = spark.createDataFrame(rows, schema)
@@ -177,7 +177,7 @@ def test_knn_against_brute_force(spark, kind, exclude, cell):
     got = {
         r["id"]: (r["KNN_TARGET_MEAN_K3"], r["KNN_TARGET_MEAN_K10"])
         for r in knn_target_mean(
-            refs, asked, ks, exclude, cell_points=cell, cell_queries=60
+            refs, asked, ks, exclude, cell_points=cell, cell_queries=60, chunk_cells=chunk
         ).collect()
     }
     allowed = {
