@@ -24,19 +24,26 @@ def left_onto(parent: DataFrame, *children: DataFrame, on: str) -> DataFrame:
     return parent
 
 
-def restructured(
-    df: DataFrame, loan: str, parent: str, version: str, more_than: int = 2
-) -> DataFrame:
-    """``(parent, n_restructured, restructured_frac)``: loans with many distinct versions."""
-    versions = df.groupBy(loan, parent).agg(
-        A.distinct_with_null(F.col(version)).alias("n_versions")
-    )
+def version_counts(df: DataFrame, keys: str | Sequence[str], version: str) -> DataFrame:
+    """``(keys..., n_versions)``: distinct versions per loan, null being a version of its own."""
+    return to_parent(df, keys, {"n_versions": A.distinct_with_null(F.col(version))})
+
+
+def restructured_share(versions: DataFrame, parent: str, more_than: int = 2) -> DataFrame:
+    """``(parent, n_restructured, restructured_frac)`` over loans with their version counts."""
     many = A.flag(F.col("n_versions") > more_than)
     return to_parent(
         versions, parent, {"n_restructured": A.total(many), "restructured_frac": A.mean(many)}
     )
 
 
+def restructured(
+    df: DataFrame, loan: str, parent: str, version: str, more_than: int = 2
+) -> DataFrame:
+    """Both steps for rows that carry the loan and its parent."""
+    return restructured_share(version_counts(df, [loan, parent], version), parent, more_than)
+
+
 def quantile_by_parent(
     df: DataFrame, key: str, value: str, q: float, out: str, where: Column | None = None
 ) -> DataFrame:

@@ -312,8 +312,9 @@ def restructure_flag(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.nullif("l_linenumber", F.lit(7)).alias("v")
     )
-    rows = with_group_key(lines, table(spark, sf, "orders"), "o_orderkey", ["o_custkey"])
-    out = G.restructured(rows, "o_orderkey", "o_custkey", "v")
+    per_order = G.version_counts(lines, "o_orderkey", "v")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    out = G.restructured_share(per_order.join(orders, "o_orderkey"), "o_custkey")
     return out.select("o_custkey", "n_restructured", *rounded(6, "restructured_frac"))
 
 
@@ -503,12 +504,44 @@ def mean_of_means(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice", "l_discount"
     )
-    rows = with_group_key(lines, table(spark, sf, "orders"), "o_orderkey", ["o_custkey"])
     deficit = F.col("l_extendedprice") * F.col("l_discount")
-    out = G.mean_of_means(rows, "o_orderkey", "o_custkey", deficit, "deficit_mean")
+    per_order = G.to_parent(lines, "o_orderkey", {"m": A.mean(deficit)})
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    out = G.to_parent(
+        per_order.join(orders, "o_orderkey"), "o_custkey", {"deficit_mean": A.mean(F.col("m"))}
+    )
     return out.select("o_custkey", *rounded(3, "deficit_mean"))
 
 
+@query(
+    "grandparent_rows",
+    """
+    SELECT l_orderkey, l_partkey, l_quantity, l_shipdate, o_custkey
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+    """,
+)
+def grandparent_rows(spark, sf):
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_quantity", "l_shipdate"
+    )
+    bridge = table(spark, sf, "orders").withColumnRenamed("o_orderkey", "l_orderkey")
+    return with_group_key(lines, bridge, "l_orderkey", ["o_custkey"])
+
+
+@query(
+    "event_mean_of_means",
+    """
+    SELECT user_id, round(avg(m), 6) AS value_mean
+    FROM (SELECT user_id, event_type, avg(value) AS m FROM events GROUP BY 1, 2) GROUP BY 1
+    """,
+)
+def event_mean_of_means(spark, sf):
+    out = G.mean_of_means(
+        table(spark, sf, "events"), "event_type", "user_id", F.col("value"), "value_mean"
+    )
+    return out.select("user_id", *rounded(6, "value_mean"))
+
+
 @query(
     "residual_feature",
     f"""
