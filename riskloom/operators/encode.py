@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import attach
@@ -72,12 +72,13 @@ def encode(
     df: DataFrame,
     te_map: DataFrame,
     columns: Sequence[str],
-    mu: float,
+    mu: float | Column,
     on_fold: str | None = None,
     keep: bool = False,
 ) -> DataFrame:
     """Replace each column by ``<column>_TE``; null and unseen categories get ``mu``."""
     out, te_map = df, settle(te_map)
+    unknown = mu if isinstance(mu, Column) else F.lit(mu)
     for c in columns:
         part = te_map.filter(F.col("name") == c).select(
             F.col("cat").alias(f"_{c}"),
@@ -86,7 +87,7 @@ def encode(
         )
         on = [f"_{c}"] + ([on_fold] if on_fold else [])
         out = attach(out.withColumn(f"_{c}", F.col(c).cast("string")), part, on, settled=True)
-        out = out.withColumn(f"{c}_TE", F.coalesce(f"{c}_TE", F.lit(mu))).drop(f"_{c}")
+        out = out.withColumn(f"{c}_TE", F.coalesce(f"{c}_TE", unknown)).drop(f"_{c}")
     return out if keep else out.drop(*columns)
 
 
@@ -103,6 +104,24 @@ def encode_out_of_fold(
     return encode(df, fold_map(df, columns, label, mu, k, alpha), columns, mu, "fold", keep)
 
 
+def encode_per_fold(
+    df: DataFrame, columns: Sequence[str], label: str, k: int = 5, alpha: float = ALPHA
+) -> DataFrame:
+    """Add ``<column>_TE`` arrays: element ``f`` is the encoding without the labels of fold ``f``.
+
+    The model of fold ``f`` takes that element for the rows it is fitted on and for the rows it
+    scores, so no label of its held-out fold is in its features.
+    """
+    mu = target_mean(df, label)
+    by_fold = F.array_sort(F.collect_list(F.struct("fold", "te")))
+    maps = (
+        fold_map(df, columns, label, mu, k, alpha)
+        .groupBy("name", "cat")
+        .agg(F.transform(by_fold, lambda s: s["te"]).alias("te"))
+    )
+    return encode(df, maps, columns, F.array(*[F.lit(mu)] * k), keep=True)
+
+
 def encode_full(
     train: DataFrame,
     target: DataFrame,

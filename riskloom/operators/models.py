@@ -19,8 +19,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -68,14 +67,32 @@ class Learner:
 
 
 def assemble(df: DataFrame, features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    """``keep`` plus one vector column; null, NaN and infinities become the missing marker."""
-    numbers = [
-        F.coalesce(clean.finite(F.col(c)), F.lit(MISSING)).alias(f"_x{i}")
-        for i, c in enumerate(features)
-    ]
-    names = [f"_x{i}" for i in range(len(features))]
-    vectors = VectorAssembler(inputCols=names, outputCol=FEATURES)
-    return vectors.transform(df.select(*keep, *numbers)).drop(*names)
+    """``keep`` plus the features as ``_numbers``; null, NaN and infinities become the marker.
+
+    Array columns hold one value per fold and go to ``_by_fold``; ``vectors`` picks theirs.
+    """
+    arrays = {f.name for f in df.schema if f.dataType.typeName() == "array"}
+    one = [F.coalesce(clean.finite(F.col(c)), F.lit(MISSING)) for c in features if c not in arrays]
+    many = [F.col(c) for c in features if c in arrays]
+    return df.select(
+        *keep,
+        (F.array(*one) if one else F.array().cast("array<double>")).alias("_numbers"),
+        (F.array(*many) if many else F.array().cast("array<array<double>>")).alias("_by_fold"),
+    )
+
+
+def feature_order(df: DataFrame, features: Sequence[str]) -> list[str]:
+    """The features in the order ``vectors`` puts them: plain ones, then one-per-fold ones."""
+    arrays = {f.name for f in df.schema if f.dataType.typeName() == "array"}
+    return [c for c in features if c not in arrays] + [c for c in features if c in arrays]
+
+
+def vectors(df: DataFrame, fold: int = 0) -> DataFrame:
+    """The assembled rows with the feature vector that the model of a fold sees."""
+    mine = F.transform("_by_fold", lambda values: F.get(values, F.lit(fold)))
+    return df.withColumn(FEATURES, array_to_vector(F.concat("_numbers", mine))).drop(
+        "_numbers", "_by_fold"
+    )
 
 
 def positive_probability(model, df: DataFrame, out: str) -> DataFrame:
@@ -127,18 +144,19 @@ def oof_scores(
     test_out = None if test is None else test.select(key)
     importances = []
     for learner in learners:
-        columns = list(per_learner[learner.name])
+        columns = feature_order(train, per_learner[learner.name])
         matrix = assemble(train.withColumn(label, F.col(label).cast("double")),
                           columns, [key, label, "fold"])
         if early_stop_share:
             inner = hash_fraction(F.col(key), 17) < F.lit(int(early_stop_share * 16**8))
             matrix = matrix.withColumn("_stop", inner)
         matrix = settle(matrix)
-        unseen = None if test is None else settle(assemble(test, columns, [key]))
+        unseen = None if test is None else settle(vectors(assemble(test, columns, [key])))
         held_out, test_columns = [], []
         for fold in range(k):
-            fit_rows = matrix.filter(F.col("fold") != fold)
-            rest = matrix.filter(F.col("fold") == fold).select(key, FEATURES)
+            seen = vectors(matrix, fold)
+            fit_rows = seen.filter(F.col("fold") != fold)
+            rest = seen.filter(F.col("fold") == fold).select(key, FEATURES)
             names = []
             for seed in learner.seeds:
                 params = dict(learner.params)
@@ -258,10 +276,12 @@ def child_model_meta(
     columns = [f"{c}_code" if c in text else c for c in features]
     grouped = folds.group_folds(train, key, label, k)
     matrix = settle(
-        assemble(grouped.withColumn(label, F.col(label).cast("double")), columns,
-                 [key, label, "fold"])
+        vectors(
+            assemble(grouped.withColumn(label, F.col(label).cast("double")), columns,
+                     [key, label, "fold"])
+        )
     )
-    unseen = assemble(test, columns, [key])
+    unseen = vectors(assemble(test, columns, [key]))
     parts, names = [], []
     for fold in range(k):
         model = learner.make(seed=learner.seeds[0], labelCol=label, **learner.params).fit(
@@ -308,9 +328,11 @@ def reconstruct(
     binned = known.withColumn("_bin", clean.bin_of(F.col(column), edges))
     folded = folds.stratified_folds(binned, key, "_bin", k, seed)
     target = F.col(column).cast("double")
-    matrix = settle(assemble(folded.withColumn("_y", target), features, [key, "_y", "fold"]))
-    missing = assemble(train.filter(F.col(column).isNull()), features, [key])
-    unseen = assemble(test, features, [key])
+    matrix = settle(
+        vectors(assemble(folded.withColumn("_y", target), features, [key, "_y", "fold"]))
+    )
+    missing = vectors(assemble(train.filter(F.col(column).isNull()), features, [key]))
+    unseen = vectors(assemble(test, features, [key]))
     parts, names = [], []
     for fold in range(k):
         model = learn().fit(matrix.filter(F.col("fold") != fold))
@@ -353,10 +375,11 @@ def param_search(
 
     def one(task: tuple[int, int]) -> DataFrame:
         trial, fold = task
+        seen = vectors(matrix, fold)
         model = make(seed=seed, labelCol=label, **grid[trial]).fit(
-            matrix.filter(F.col("fold") != fold)
+            seen.filter(F.col("fold") != fold)
         )
-        held_out = matrix.filter(F.col("fold") == fold)
+        held_out = seen.filter(F.col("fold") == fold)
         return positive_probability(model, held_out, "score").select(
             F.lit(trial).alias("trial"), "fold", label, "score"
         )

@@ -3,7 +3,8 @@
 Everything here rests on one layout: rows are range-partitioned by ``(group, order)``, so a group
 that holds a large share of the table is cut over many partitions. Each partition works on its own
 rows; what the partitions owe each other (at most one open group per partition border) is a table
-of at most ``2 * partitions`` rows and is broadcast.
+of at most ``2 * partitions`` rows and is broadcast. The number of partitions is left to adaptive
+execution, so small tables stay in few.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.joins import attach
-from riskloom.session import settle, shuffle_width, write_out
+from riskloom.session import settle, write_out
 
 SLICE = "_slice"
 
@@ -36,9 +37,7 @@ def running_totals(
     """
     group = list(group)
     laid = write_out(
-        df.repartitionByRange(shuffle_width(df), *group, *order).withColumn(
-            SLICE, F.spark_partition_id()
-        )
+        df.repartitionByRange(*group, *order).withColumn(SLICE, F.spark_partition_id())
     )
     in_slice = Window.partitionBy(SLICE, *group)
     earlier = in_slice.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
@@ -216,7 +215,7 @@ def ewm_last(
     columns = list(dict.fromkeys([key, *order, value]))
     sliced = (
         df.select(*columns)
-        .repartitionByRange(shuffle_width(df), key, *order)
+        .repartitionByRange(key, *order)
         .withColumn(SLICE, F.spark_partition_id())
     )
     backwards = Window.partitionBy(key, SLICE).orderBy(*[F.col(c).desc() for c in order])

@@ -77,7 +77,7 @@ def evaluate(
         codes = clean.category_codes(train, c, f"{c}_CODE")
         train = clean.index_category(train, codes, c, f"{c}_CODE")
         test = clean.index_category(test, codes, c, f"{c}_CODE")
-    train_matrix = encode.encode_out_of_fold(train, encoded, label, k, keep=True)
+    train_matrix = encode.encode_per_fold(train, encoded, label, k)
     test_matrix = encode.encode_full(train, test, encoded, label, keep=True)
     te = [f"{c}_TE" for c in encoded]
     codes = [f"{c}_CODE" for c in text]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from riskloom.functions.expressions import guarded_ratio, narrowed
 from riskloom.operators import clean, folds
 from riskloom.operators import models as M
-from riskloom.operators.encode import encode_out_of_fold
+from riskloom.operators.encode import encode_per_fold
 from riskloom.operators.joins import attach
 from riskloom.operators.neighbors import knn_target_mean, vector
 from riskloom.plans import credit
@@ -224,7 +224,7 @@ def tuned(train: DataFrame, settings: Settings, learners: list[M.Learner]) -> li
         train, credit.APPLICANT, credit.TARGET, settings.folds, settings.seed
     )
     text = [c for c in credit.TARGET_ENCODED if c in train.columns]
-    encoded = encode_out_of_fold(folded, text, credit.TARGET, settings.folds)
+    encoded = encode_per_fold(folded, text, credit.TARGET, settings.folds)
     features = numbers + [f"{c}_TE" for c in text]
     out = []
     for learner in learners:

@@ -14,5 +14,7 @@ from riskloom.session import local_session  # noqa: E402
 def spark():
     session = local_session(8, "riskloom-tests")
     session.sparkContext.setLogLevel("ERROR")
+    # Keep small test tables in many partitions, so that the work between partitions is tested.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield session
     session.stop()

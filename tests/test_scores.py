@@ -116,6 +116,18 @@ def test_encoding_ignores_labels_of_the_own_fold(spark):
     assert first == pytest.approx(second)
 
 
+def test_encodings_per_fold_leave_one_fold_out_each(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["p", "q", None]), rng.randint(0, 1), i % 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, c string, y int, fold int")
+    mu = sum(r[2] for r in rows) / len(rows)
+    for r in E.encode_per_fold(df, ["c"], "y", 3).collect():
+        for f in range(3):
+            others = [y for _, c, y, g in rows if c == r["c"] and g != f]
+            want = (sum(others) + 10 * mu) / (len(others) + 10) if r["c"] else mu
+            assert r["c_TE"][f] == pytest.approx(want)
+
+
 def test_null_and_unseen_categories_get_the_mean(spark):
     train = spark.createDataFrame(
         [(1, "a", 1, 0), (2, "b", 0, 1), (3, None, 1, 1), (4, "b", 1, 1)],
