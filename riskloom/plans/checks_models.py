@@ -58,18 +58,6 @@ def adversarial_auc(spark, sf):
     return top.withColumns({"auc": F.lit(auc), "drifting": F.lit(drifting)})
 
 
-@query("drift_gate")
-def drift_gate(spark, sf):
-    lines = _order_features(spark, sf)
-    old = F.col("days") < -1200
-    columns = ["o_totalprice", "overdue", "days"]
-    drift = M.column_drift(lines.filter(old), lines.filter(~old), columns)
-    labelled = lines.withColumn("y", (F.col("o_totalprice") > 300000).cast("int"))
-    folded = settle(folds.hash_folds(labelled, "o_orderkey", FOLDS))
-    fitted = M.oof_scores(folded, None, columns, "y", "o_orderkey", [SMALL_FOREST], FOLDS)
-    return M.drift_gate(drift, fitted.importances)
-
-
 @query("child_model_meta")
 def child_model_meta(spark, sf):
     customers = table(spark, sf, "customer").select(

@@ -15,7 +15,7 @@ from riskloom.operators import folds
 from riskloom.operators import models as M
 from riskloom.operators.neighbors import knn_target_mean, vector
 from riskloom.operators.ordered import auc_by_column, rank_normalize, roc_auc
-from riskloom.plans.registry import money, money_mean_sql, query, rounded, table
+from riskloom.plans.registry import ORACLES, money, money_mean_sql, query, rounded, table
 
 SCORES = ["s1", "s2", "s3", "s4"]
 # Static blend weights.
@@ -197,6 +197,36 @@ def target_encode_oof(spark, sf):
     return encoded.select("doc_id", *rounded(9, "lang_TE", "source_TE"))
 
 
+def _fold_te_sql(column: str) -> str:
+    others = "FILTER (r.fold <> f)"
+    return f"""
+      (SELECT {column}, f, (coalesce(sum(y) {others}, 0) + 10.0 * max(mu))
+                           / (count(*) {others} + 10.0) AS te
+       FROM r CROSS JOIN range(5) t(f) CROSS JOIN m WHERE {column} IS NOT NULL GROUP BY 1, 2)"""
+
+
+@query(
+    "target_encode_per_fold",
+    f"""
+    WITH r AS ({SCORED_SQL}), m AS (SELECT avg(quality) AS mu FROM labels)
+    SELECT doc_id, CAST(t.f AS INTEGER) AS held_out, round(coalesce(a.te, mu), 9) AS lang_TE,
+           round(coalesce(b.te, mu), 9) AS source_TE
+    FROM r CROSS JOIN range(5) t(f) CROSS JOIN m
+    LEFT JOIN {_fold_te_sql("lang")} a ON a.lang = r.lang AND a.f = t.f
+    LEFT JOIN {_fold_te_sql("source")} b ON b.source = r.source AND b.f = t.f
+    """,
+)
+def target_encode_per_fold(spark, sf):
+    encoded = E.encode_per_fold(_scored(spark, sf), ["lang", "source"], "y", 5)
+    long = encoded.select(
+        "doc_id", F.posexplode(F.arrays_zip("lang_TE", "source_TE")).alias("held_out", "te")
+    )
+    return long.select(
+        "doc_id", "held_out",
+        *rounded(9, lang_TE=F.col("te.lang_TE"), source_TE=F.col("te.source_TE")),
+    )
+
+
 def _full_te_sql(column: str) -> str:
     return f"""
       (SELECT {column}, (sum(y) + 10.0 * max(mu)) / (count(*) + 10.0) AS te
@@ -303,7 +333,7 @@ def simplex_blend(spark, sf):
     )
 
 
-def _ridge_sql() -> str:
+def _ridge_sql(alpha: float = 1.0) -> str:
     names = ["s1", "s3", "s4"]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     sums = ", ".join(
@@ -312,7 +342,7 @@ def _ridge_sql() -> str:
         + [f"sum({a} * {b}) AS p_{a}_{b}" for a, b in pairs]
     )
     cov = {
-        (a, b): f"(p_{a}_{b} - s_{a} * s_{b} / n{' + 1.0' if a == b else ''})" for a, b in pairs
+        (a, b): f"(p_{a}_{b} - s_{a} * s_{b} / n{f' + {alpha}' if a == b else ''})" for a, b in pairs
     }
     cov |= {(b, a): c for (a, b), c in cov.items()}
     rhs = {a: f"(p_{a}_y - s_{a} * s_y / n)" for a in names}
@@ -336,11 +366,11 @@ def _ridge_sql() -> str:
       held AS (SELECT f.fold, {sums} FROM d JOIN (SELECT DISTINCT fold FROM d) f
                ON d.fold <> f.fold GROUP BY f.fold),
       fits AS (SELECT *, {slopes} FROM held)
-      SELECT d.doc_id, round(s_y / n + {score}, 7) AS stacked FROM d JOIN fits USING (fold)
+      SELECT d.doc_id, d.y, s_y / n + {score} AS stacked FROM d JOIN fits USING (fold)
     """
 
 
-@query("ridge_stack", _ridge_sql())
+@query("ridge_stack", f"SELECT doc_id, round(stacked, 7) AS stacked FROM ({_ridge_sql()})")
 def ridge_stack(spark, sf):
     scores = ["s1", "s3", "s4"]
     rows = _scored(spark, sf)
@@ -348,6 +378,74 @@ def ridge_stack(spark, sf):
     return rows.select("doc_id", *rounded(7, stacked=B.ridge_out_of_fold(scores, fits)))
 
 
+ALPHAS = (0.1, 1.0, 3.0, 10.0)
+
+
+@query(
+    "ridge_sweep",
+    " UNION ALL ".join(
+        f"SELECT {a} :: DOUBLE AS alpha, round(({_auc_sql(_ridge_sql(a), 'y', 'stacked')}), 9) AS auc"
+        for a in ALPHAS
+    ),
+)
+def ridge_sweep(spark, sf):
+    scores = ["s1", "s3", "s4"]
+    rows = _scored(spark, sf)
+    fits = B.fit_ridge(rows, "y", scores, ALPHAS)
+    names = {f"a{i}": a for i, a in enumerate(ALPHAS)}
+    wide = rows.select(
+        "y", *[B.ridge_out_of_fold(scores, fits[a]).alias(n) for n, a in names.items()]
+    )
+    alpha = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return auc_by_column(wide, "y", list(names)).select(
+        alpha[F.col("name")].alias("alpha"), *rounded(9, "auc")
+    )
+
+
+GAIN_SQL = " UNION ALL ".join(
+    f"""
+    SELECT '{c}' AS name, l_linenumber % 3 AS fold,
+           abs(sum(pos * (2 * neg_before + neg)) / (2.0 * sum(pos) * sum(neg)) - 0.5) AS importance
+    FROM (SELECT l_linenumber, pos, neg, coalesce(sum(neg) OVER (
+                   PARTITION BY l_linenumber ORDER BY v
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_before
+          FROM (SELECT l_linenumber % 3 AS l_linenumber, {c} AS v,
+                       sum(CAST(l_returnflag = 'R' AS INTEGER)) AS pos,
+                       sum(CAST(l_returnflag <> 'R' AS INTEGER)) AS neg
+                FROM lineitem GROUP BY 1, 2))
+    GROUP BY 1, 2"""
+    for c in DRIFT_COLUMNS
+)
+
+
+@query(
+    "drift_gate",
+    f"""
+    WITH drift AS ({ORACLES["column_drift_auc"]}), gain AS (
+      SELECT name, avg(importance) AS gain FROM ({GAIN_SQL}) GROUP BY 1)
+    SELECT name AS feature, round(greatest(auc, 1 - auc), 8) AS drift, round(gain, 8) AS gain,
+           greatest(auc, 1 - auc) > 0.501 AND gain < 0.004 AS dropped
+    FROM drift JOIN gain USING (name)
+    """,
+)
+def drift_gate(spark, sf):
+    # The gain of a column in a fold: how far its AUC for the label is from chance.
+    lines = table(spark, sf, "lineitem")
+    test = F.col("l_linestatus") == "O"
+    drift = M.column_drift(lines.filter(~test), lines.filter(test), DRIFT_COLUMNS)
+    long = lines.select(
+        (F.col("l_returnflag") == "R").cast("int").alias("y"),
+        (F.col("l_linenumber") % 3).alias("fold"),
+        F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("v"))
+                            for c in DRIFT_COLUMNS])).alias("s"),
+    ).select("y", "fold", "s.feature", "s.v")
+    gains = roc_auc(long, "y", "v", by=["feature", "fold"]).select(
+        "feature", "fold", F.abs(F.col("auc") - 0.5).alias("importance")
+    )
+    gate = M.drift_gate(drift, gains, threshold=0.501, min_gain=0.004)
+    return gate.select("feature", *rounded(8, "drift", "gain"), "dropped")
+
+
 STRATEGY_SQL = f"""
   SELECT doc_id, y, 0.65 * s1 + 0.0 * s2 + 0.15 * s3 + 0.2 * s4 AS static,
          0.65 * {_rank_sql("s1")} + 0.0 * {_rank_sql("s2")} + 0.15 * {_rank_sql("s3")}

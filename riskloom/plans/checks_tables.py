@@ -218,6 +218,19 @@ def prune_columns(spark, sf):
     )
 
 
+@query(
+    "narrow_types",
+    """
+    SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
+           o_orderstatus, CAST(o_totalprice AS FLOAT) AS o_totalprice
+    FROM orders
+    """,
+)
+def narrow_types(spark, sf):
+    orders = table(spark, sf, "orders")
+    return X.narrowed(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
+
+
 @query(
     "rowwise_stats",
     """
