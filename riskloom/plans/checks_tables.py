@@ -33,17 +33,17 @@ def csv_to_parquet(spark, sf):
     """,
 )
 def staged_roundtrip(spark, sf):
-    root = scratch(spark, "stage")
+    root, orders = scratch(spark, "stage"), table(spark, sf, "orders")
 
     def build():
         return G.to_parent(
-            table(spark, sf, "orders"),
+            orders,
             "o_custkey",
             {"n_orders": A.rows(), "total": F.round(A.total(F.col("o_totalprice")), 2)},
         )
 
-    S.staged(build, root, "orders", {"seed": 42, "sample": 1.0})
-    return S.staged(build, root, "orders", {"seed": 42, "sample": 1.0})
+    S.staged(build, root, "orders", {"seed": 42, "sample": 1.0}, [orders])
+    return S.staged(build, root, "orders", {"seed": 42, "sample": 1.0}, [orders])
 
 
 @query(

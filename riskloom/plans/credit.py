@@ -371,15 +371,19 @@ def cross_table_features(df: DataFrame) -> DataFrame:
     )
 
 
+# The five child aggregations and the tables each one reads.
+CHILDREN = {
+    "bureau": (bureau_features, ["bureau", "bureau_balance"]),
+    "installments": (installment_features, ["installments_payments"]),
+    "credit_card": (card_features, ["credit_card_balance"]),
+    "pos_cash": (pos_features, ["POS_CASH_balance"]),
+    "prev_app": (previous_features, ["previous_application"]),
+}
+
+
 def child_features(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five child aggregations, one row per applicant each, none of them run yet."""
-    return {
-        "bureau": bureau_features(tables["bureau"], tables["bureau_balance"]),
-        "installments": installment_features(tables["installments_payments"]),
-        "credit_card": card_features(tables["credit_card_balance"]),
-        "pos_cash": pos_features(tables["POS_CASH_balance"]),
-        "prev_app": previous_features(tables["previous_application"]),
-    }
+    """The five child aggregations, one row per applicant each."""
+    return {n: build(*[tables[t] for t in reads]) for n, (build, reads) in CHILDREN.items()}
 
 
 def full_features(

@@ -106,7 +106,8 @@ def child_metas(
                 f"META_{name}".upper(), learner, settings.folds,
             )
 
-        metas.append(S.staged_once(build, root, f"meta_{name}", _fingerprint(settings)))
+        inputs = [tables[name], bridge, train, test]
+        metas.append(S.staged(build, root, f"meta_{name}", _fingerprint(settings), inputs))
     return metas
 
 
@@ -175,10 +176,13 @@ def build_features(
         train = folds.hash_sample(train, credit.APPLICANT, settings.sample, settings.seed)
     cap = clean.fit_cap(train, "OWN_CAR_AGE") if "OWN_CAR_AGE" in train.columns else None
     train, test = (credit.clean_application(t, cap) for t in (train, test))
-    children = {
-        name: S.staged(lambda df=df: narrowed(df), stage_root, name, {"seed": settings.seed})
-        for name, df in credit.child_features(tables).items()
-    }
+    children = {}
+    for name, (build, reads) in credit.CHILDREN.items():
+        inputs = [tables[t] for t in reads]
+        children[name] = S.staged(
+            lambda build=build, inputs=inputs: narrowed(build(*inputs)),
+            stage_root, name, {"seed": settings.seed}, inputs,
+        )
     metas = child_metas(tables, settings.child_models, stage_root, settings)
     on_train, on_test = reconstructions(tables, settings) if settings.reconstruct else ([], [])
     return (

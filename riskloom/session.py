@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_written: list[str] = []
+
 
 def local_session(cores: str | int = 8, app: str = "riskloom") -> SparkSession:
     """A local session for tests and benchmarks; a cluster brings its own session."""
@@ -57,8 +59,17 @@ def write_out(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/riskloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_written(spark: SparkSession) -> None:
+    """Delete the tables ``write_out`` made, once no result that reads them is needed any more."""
+    context = spark.sparkContext
+    while _written:
+        path = context._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -37,30 +37,30 @@ def csv_to_parquet(
     return spark.read.parquet(parquet_path)
 
 
-def stage_key(name: str, params: Mapping[str, object], plan: DataFrame | None = None) -> str:
-    """Folder name of a stage: its name and a digest of its parameters and logical plan."""
-    parts = {"params": dict(params), "plan": None if plan is None else plan.semanticHash()}
-    text = json.dumps(parts, sort_keys=True, default=str)
+def stage_key(
+    name: str, params: Mapping[str, object], inputs: Sequence[DataFrame] = ()
+) -> str:
+    """Folder name of a stage: its name and a digest of parameters, plans and input files.
+
+    Rewritten files have new names, so a stage over changed input is a new stage.
+    """
+    seen = [[df.semanticHash(), sorted(df.inputFiles())] for df in inputs]
+    text = json.dumps({"params": dict(params), "inputs": seen}, sort_keys=True, default=str)
     return f"{name}-{hashlib.sha256(text.encode()).hexdigest()[:16]}"
 
 
 def staged(
-    build: Callable[[], DataFrame], root: str, name: str, params: Mapping[str, object]
+    build: Callable[[], DataFrame],
+    root: str,
+    name: str,
+    params: Mapping[str, object],
+    inputs: Sequence[DataFrame] = (),
 ) -> DataFrame:
-    """Read the stage when it is complete, else compute and write it, then read it back."""
-    df = build()
-    path = f"{root.rstrip('/')}/{stage_key(name, params, df)}"
-    spark = df.sparkSession
-    if not exists(spark, f"{path}/_SUCCESS"):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Read the stage when it is complete, else build and write it, then read it back.
 
-
-def staged_once(
-    build: Callable[[], DataFrame], root: str, name: str, params: Mapping[str, object]
-) -> DataFrame:
-    """Like ``staged`` for a result that runs jobs while it is built: keyed by parameters alone."""
-    path = f"{root.rstrip('/')}/{stage_key(name, params)}"
+    ``inputs`` are the tables the stage is built from; ``build`` is not called for a finished one.
+    """
+    path = f"{root.rstrip('/')}/{stage_key(name, params, inputs)}"
     spark = SparkSession.getActiveSession()
     if not exists(spark, f"{path}/_SUCCESS"):
         build().write.mode("overwrite").parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import expressions as X
 from riskloom.operators import clean as C
 from riskloom.operators import folds
+from riskloom.session import drop_written, write_out
 from riskloom.sources import tables as S
 
 
@@ -78,23 +79,32 @@ def test_csv_is_converted_once(spark, tmp_path):
     assert S.csv_to_parquet(spark, str(source), target).count() == 2
 
 
-def test_stage_is_reused_and_keyed_by_parameters(spark, tmp_path):
-    calls = []
+def test_stage_is_reused_and_keyed_by_parameters_and_input(spark, tmp_path):
+    calls, source, root = [], str(tmp_path / "in.parquet"), str(tmp_path / "stages")
+    spark.range(5).write.parquet(source)
 
-    def build():
-        calls.append(1)
-        return spark.range(5)
+    def stage(seed):
+        df = spark.read.parquet(source)
 
-    root = str(tmp_path)
-    for _ in range(2):
-        assert S.staged_once(build, root, "x", {"seed": 1}).count() == 5
-    S.staged_once(build, root, "x", {"seed": 2})
-    assert len(calls) == 2
-    one, other = spark.range(5), spark.range(6)
-    assert S.stage_key("x", {}, one) == S.stage_key("x", {}, spark.range(5))
-    assert S.stage_key("x", {}, one) != S.stage_key("x", {}, other)
-    assert S.staged(lambda: one, root, "y", {}).count() == 5
-    assert S.staged(lambda: other, root, "y", {}).count() == 6
+        def build():
+            calls.append(seed)
+            return df.filter("id > 0")
+
+        return S.staged(build, root, "x", {"seed": seed}, [df])
+
+    assert [stage(1).count(), stage(1).count()] == [4, 4] and calls == [1]
+    assert stage(2).count() == 4 and calls == [1, 2]
+    spark.range(9).write.mode("overwrite").parquet(source)
+    assert stage(1).count() == 8 and calls == [1, 2, 1]
+
+
+def test_written_tables_can_be_dropped(spark):
+    kept = write_out(spark.range(3))
+    assert kept.count() == 3
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert S.exists(spark, path)
+    drop_written(spark)
+    assert not S.exists(spark, path)
 
 
 def test_optional_table_and_report(spark, tmp_path):
