@@ -24,7 +24,12 @@ from riskloom.session import write_out
 
 WINDOW = 10
 BLOCK_BYTES = 8_000_000
-RESULT = T.StructType.fromDDL("n_words long, spans array<int>, items array<string>")
+RESULT = (
+    T.StructType()
+    .add("n_words", T.LongType())
+    .add("spans", T.ArrayType(T.IntegerType()))
+    .add("items", T.ArrayType(T.StringType()))
+)
 
 # ASCII letters and digits stay (letters in lower case), bytes beyond ASCII stay, all else parts.
 _WORD_BYTES = bytes(
