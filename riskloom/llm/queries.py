@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontaminate
+from riskloom.llm import decontaminate, line_dedup, simhash
 
-QUERIES = {"op8_decontaminate": decontaminate.op8_decontaminate}
-ORACLES = {"op8_decontaminate": decontaminate.OP8_SQL}
+QUERIES = {
+    "op5_simhash": simhash.op5_simhash,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
+}
+ORACLES = {
+    "op8_decontaminate": decontaminate.OP8_SQL,
+    "op10_line_dedup": line_dedup.OP10_SQL,
+}
