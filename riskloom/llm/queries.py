@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontaminate, line_dedup, simhash
+from riskloom.llm import curriculum, decontaminate, line_dedup, lm_score, simhash, syncmers
 
 QUERIES = {
+    "op1_syncmers": syncmers.op1_syncmers,
     "op5_simhash": simhash.op5_simhash,
+    "op7_curriculum": curriculum.op7_curriculum,
     "op8_decontaminate": decontaminate.op8_decontaminate,
+    "op9_lm_score": lm_score.op9_lm_score,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLES = {
+    "op7_curriculum": curriculum.OP7_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
 }
