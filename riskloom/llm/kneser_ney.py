@@ -36,6 +36,7 @@ from riskloom.session import shared_folder, write_out
 
 START, END = 1 << 48, (1 << 48) + 1
 FLUSH = 2_000_000
+BLOCK = 1_000_000
 SHARD_SYMBOLS = 1_000_000
 HOT_SHARE = 0.001
 HOT_SAMPLE = 2_000
@@ -68,18 +69,23 @@ def _gram(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return _mix(context * U(0x9E3779B97F4A7C15) + symbol)
 
 
-def _positions(texts: list[np.ndarray], order: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """Columns [context of order n, ..., context of order 2, symbol]; positions per text."""
+def _line(texts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array, padded; the places of the symbols to predict; their number."""
     pad, end = np.full(order - 1, START, U), np.array([END], U)
     line = np.concatenate([x for t in texts for x in (pad, t, end)])
     lengths = np.array([len(t) + 1 for t in texts])
     starts = np.cumsum(lengths + order - 1) - lengths
     at = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    return line, at, lengths
+
+
+def _columns(line: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
+    """[context of order n, ..., context of order 2, symbol] at these places."""
     columns, context = [line[at]], np.zeros(len(at), U)
     for back in range(1, order):
         context = _gram(context + U(back), line[at - back])
         columns.insert(0, context)
-    return columns, lengths
+    return columns
 
 
 def _summed(columns: list[np.ndarray], counts: list[np.ndarray]):
@@ -243,10 +249,12 @@ def train(
         held, n = [], 0
 
         def sent():
-            columns, _ = _positions(held, order)
-            grams, columns, sums = _summed(columns, [np.ones(len(columns[-1]), U)])
-            for shard, blob in _sent(columns, grams, [sums[0], sums[0]], hot, shards):
-                yield _rows([("next", shard, 0, 0, 0, 0, 0, blob)])
+            line, at, _ = _line(held, order)
+            for start in range(0, len(at), 2 * flush):  # one text may be longer than that
+                columns = _columns(line, at[start : start + 2 * flush], order)
+                grams, columns, sums = _summed(columns, [np.ones(len(columns[-1]), U)])
+                for shard, blob in _sent(columns, grams, [sums[0], sums[0]], hot, shards):
+                    yield _rows([("next", shard, 0, 0, 0, 0, 0, blob)])
 
         for batch in slices(batches):
             for value in utf8(batch.column(0)):
@@ -312,7 +320,8 @@ def _hot_contexts(rows: DataFrame, n: int, symbols: str, order: int) -> np.ndarr
 
     def count(batches):
         for batch in slices(batches):
-            columns, _ = _positions([to_symbols(t) for t in utf8(batch.column(0))], order)
+            line, at, _ = _line([to_symbols(t) for t in utf8(batch.column(0))], order)
+            columns = _columns(line, at, order)
             for k, column in enumerate(columns[:-1]):
                 values, sums = np.unique(column, return_counts=True)
                 often = sums > HOT_SHARE / 10 * len(column)
@@ -434,17 +443,21 @@ class Scorer:
     def score(self, texts: list[bytes | None]) -> dict[str, np.ndarray]:
         """Per text: tokens, known tokens, log10 probability, and that of smoothed unigrams."""
         m = self.model
-        columns, lengths = _positions([SYMBOLS[m.symbols](t) for t in texts], m.order)
-        grams = _gram(columns[0] if m.order > 1 else np.zeros(len(columns[0]), U), columns[-1])
-        _, first, back = np.unique(grams, return_index=True, return_inverse=True)
-        p, counts = self.probabilities([c[first] for c in columns])
-        base = (counts + 0.1) / (m.tokens + 0.1 * (m.types + 1))
-        starts = np.cumsum(lengths) - lengths
-        sums = [
-            np.add.reduceat(x[back], starts)
-            for x in ((counts > 0).astype(np.int64), np.log10(p), np.log10(base))
-        ]
-        return {"n_tokens": lengths, "n_known": sums[0], "score": sums[1], "base_score": sums[2]}
+        line, at, lengths = _line([SYMBOLS[m.symbols](t) for t in texts], m.order)
+        text = np.repeat(np.arange(len(texts)), lengths)
+        sums = np.zeros((3, len(texts)))
+        for start in range(0, len(at), BLOCK):
+            part = slice(start, start + BLOCK)
+            columns = _columns(line, at[part], m.order)
+            none = np.zeros(len(columns[0]), U)
+            grams = _gram(columns[0] if m.order > 1 else none, columns[-1])
+            _, first, back = np.unique(grams, return_index=True, return_inverse=True)
+            p, counts = self.probabilities([c[first] for c in columns])
+            base = (counts + 0.1) / (m.tokens + 0.1 * (m.types + 1))
+            for i, x in enumerate((counts > 0, np.log10(p), np.log10(base))):
+                sums[i] += np.bincount(text[part], x[back], len(texts))
+        known = sums[0].astype(np.int64)
+        return {"n_tokens": lengths, "n_known": known, "score": sums[1], "base_score": sums[2]}
 
 
 def _discounted(counts: np.ndarray, discounts: tuple[float, float, float]) -> np.ndarray:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskloom.llm import curriculum, decontaminate, line_dedup, lm_score, simhash, syncmers
+from riskloom.llm import curriculum, decontaminate, line_dedup, lm_score, quality, simhash, syncmers
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
+    "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
     "op7_curriculum": curriculum.op7_curriculum,
     "op8_decontaminate": decontaminate.op8_decontaminate,

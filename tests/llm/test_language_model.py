@@ -78,13 +78,24 @@ def test_scores_are_those_of_a_plain_model(spark, symbols, order):
         assert row.lm["n_tokens"] == len(SPLIT[symbols](row.text)) + 1
 
 
+def test_long_texts_are_scored_in_blocks(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 20").select("text")
+    scorer = kn.Scorer(kn.train(docs, order=3))
+    texts = [r.text.encode() for r in docs.collect()]
+    whole = scorer.score(texts)
+    monkeypatch.setattr(kn, "BLOCK", 97)
+    parts = scorer.score(texts)
+    assert all(np.allclose(whole[k], parts[k], rtol=1e-12) for k in whole)
+
+
 def test_probabilities_sum_to_one(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id < 40").select("text")
     model = kn.train(docs, order=2)
     texts = [kn.word_symbols(r.text.encode()) for r in docs.collect()]
     vocabulary = np.unique(np.concatenate([*texts, [np.uint64(kn.END), np.uint64(12345)]]))
     assert len(vocabulary) == model.types + 1
-    columns, _ = kn._positions([texts[0][:3]], 2)
+    line, at, _ = kn._line([texts[0][:3]], 2)
+    columns = kn._columns(line, at, 2)
     for context in columns[0]:
         p, _ = kn.Scorer(model).probabilities([np.full(len(vocabulary), context), vocabulary])
         assert math.isclose(p.sum(), 1, rel_tol=1e-9)
