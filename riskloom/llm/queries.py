@@ -2,10 +2,22 @@
 
 from __future__ import annotations
 
-from riskloom.llm import curriculum, decontaminate, line_dedup, lm_score, quality, simhash, syncmers
+from riskloom.llm import (
+    curriculum,
+    decontaminate,
+    html_text,
+    line_dedup,
+    lm_score,
+    quality,
+    simhash,
+    syncmers,
+    toxicity,
+)
 
 QUERIES = {
     "op1_syncmers": syncmers.op1_syncmers,
+    "op2_toxicity": toxicity.op2_toxicity,
+    "op3_html_text": html_text.op3_html_text,
     "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
     "op7_curriculum": curriculum.op7_curriculum,
