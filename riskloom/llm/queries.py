@@ -8,6 +8,7 @@ from riskloom.llm import (
     html_text,
     line_dedup,
     lm_score,
+    preference,
     quality,
     simhash,
     syncmers,
@@ -20,12 +21,14 @@ QUERIES = {
     "op3_html_text": html_text.op3_html_text,
     "op4_quality": quality.op4_quality,
     "op5_simhash": simhash.op5_simhash,
+    "op6_preference": preference.op6_preference,
     "op7_curriculum": curriculum.op7_curriculum,
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_lm_score": lm_score.op9_lm_score,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 ORACLES = {
+    "op6_preference": preference.OP6_SQL,
     "op7_curriculum": curriculum.OP7_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
