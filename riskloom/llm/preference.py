@@ -207,7 +207,7 @@ WITH told AS (
       first_value(body) OVER (ORDER BY conv_id DESC)) AS other
   FROM lasts JOIN rendered USING (conv_id) WHERE i = place
 ), prompts AS (
-  SELECT conv_id, string_agg(head || body, '' ORDER BY i) AS prompt
+  SELECT conv_id, string_agg(rendered.head || rendered.body, '' ORDER BY i) AS prompt
   FROM rendered JOIN replies USING (conv_id)
   WHERE i < replies.place OR (i = replies.place AND replies.text = other_text) GROUP BY conv_id
 )
