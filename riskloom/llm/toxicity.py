@@ -271,13 +271,13 @@ def scored(
     ``sentences`` holds start, end (code points) and score of sentences of at least 0.5. Null and
     empty texts score 0. Other columns pass through; one named ``into`` is replaced.
     """
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    held = documents.sparkSession.sparkContext.broadcast((model.features, model.weights))
     made: list[_Selected] = []
 
     def rows(columns: list[pa.Array]) -> pa.Array:
         if not made:
-            made.append(_Selected(held.value.features))
-        weights, scores, offending = held.value.weights, [], []
+            made.append(_Selected(held.value[0]))
+        weights, scores, offending = held.value[1], [], []
         base = math.log1p(math.exp(weights[-1]))
         for value in columns[0].to_pylist():
             n, found = made[0].sentences(value)
