@@ -2,10 +2,11 @@
 
 1. Reference points with the same coordinates are thinned to the ``k`` (or ``k + 1``) smallest
    ids: no query can use more of them, so a third of all rows on one point costs nothing.
-2. A balanced tree of medians, built from a bounded sample, cuts space into cells of limited size.
-   The sample only places the cuts; the answer does not depend on it.
+2. A tree of medians, built from a bounded sample, cuts space into cells of limited size, each time
+   across the widest side. The sample only places the cuts; the answer does not depend on it.
 3. Round one searches each query's own cell and yields a radius that is certain to hold all
-   neighbours. Round two brings to the queries of a cell the points of those cells that some
+   neighbours; where that cell holds too few, the farthest corner of the smallest enclosing box
+   with enough points does. Round two brings to the queries of a cell the points of those cells that some
    query's radius touches, and only sums leave the task. Where that would be too many points for
    one task, they are taken in chunks and the chunks' nearest points are merged.
 
@@ -25,15 +26,15 @@ from pyspark.sql import functions as F
 from riskloom.operators.joins import attach
 from riskloom.session import settle, shuffle_width
 
-SALTS = 64
+SALT_ROWS = 100_000
 SAMPLE_POINTS = 20_000
 CELL_POINTS = 2_048
 CELL_QUERIES = 8_192
 SPARE_LEVELS = 3
-MAX_LEVELS = 16
 BLOCK = 4_000_000
-
 CHUNK_CELLS = 128
+MIN_SHARE = 0.1
+
 
 def vector(columns: Sequence[str]) -> Column:
     """Numeric columns as one coordinate array."""
@@ -45,7 +46,7 @@ def knn_target_mean(
     queries: DataFrame,
     ks: Sequence[int],
     exclude: str | None = None,
-    cell_points: int = CELL_POINTS,
+    cell_points: int | None = None,
     cell_queries: int = CELL_QUERIES,
     chunk_cells: int = CHUNK_CELLS,
 ) -> DataFrame:
@@ -54,7 +55,8 @@ def knn_target_mean(
     ``refs`` has ``id, vec, y`` and ``queries`` has ``id, vec`` (no nulls in ``vec``), plus ``fold``
     in both when ``exclude="fold"``. ``exclude="self"`` leaves out the reference with the query's
     own id, ``exclude="fold"`` all references of the query's fold. With fewer than ``k``
-    references the mean covers those there are.
+    references the mean covers those there are. ``cell_points`` defaults to ``CELL_POINTS``, or more
+    for large ``k``.
     """
     ks = sorted(set(ks))
     by_fold = exclude == "fold"
@@ -62,21 +64,17 @@ def knn_target_mean(
     place = ["vec", "fold"] if by_fold else ["vec"]
 
     points = settle(_thin(refs, place, most))
-    tree = _Cuts(points, max(cell_points, 4 * most) if cell_points == CELL_POINTS else cell_points)
+    tree = _Cuts(points, cell_points or max(CELL_POINTS, 4 * most))
     points = settle(points.withColumn("cell", tree.cell_of()))
-    tree.measure(points)
+    tree.measure(points, by_fold)
 
     sites = queries.groupBy(*place).agg(F.min("id").alias("site"))
     sites = settle(_blocks(sites.withColumn("cell", tree.cell_of()), cell_queries))
     sites = sites.toDF(*sites.columns)  # new column identities: queries may derive from refs
     if tree.depth:
         within = _radius(sites, points, most, by_fold)
-        # A home cell without references yields no radius: its queries look everywhere.
-        sites = settle(
-            sites.join(within, "site", "left").withColumn(
-                "r2", F.coalesce("r2", F.lit(float("inf")))
-            )
-        )
+        found = sites.join(within, "site", "left")
+        sites = settle(found.withColumn("r2", tree.certain(most, by_fold)))
         touched = tree.touched(sites)
     else:
         sites = sites.withColumn("r2", F.lit(float("inf")))
@@ -88,7 +86,8 @@ def knn_target_mean(
 
 def _thin(refs: DataFrame, place: list[str], most: int) -> DataFrame:
     """At most ``most`` smallest ids per place, in two steps so that no place is one big task."""
-    salted = refs.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    salts = refs.count() // SALT_ROWS + 1
+    salted = refs.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
     first = Window.partitionBy(*place, "_salt").orderBy("id")
     then = Window.partitionBy(*place).orderBy("id")
     return (
@@ -100,12 +99,18 @@ def _thin(refs: DataFrame, place: list[str], most: int) -> DataFrame:
     )
 
 
+def _matrix(rows: pa.Table, column: str) -> np.ndarray:
+    """An array column as a matrix, one row per value."""
+    flat = rows.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(rows.num_rows, -1).astype(float)
+
+
 class _Cuts:
-    """A complete binary tree of median cuts and the bounding boxes of its nodes."""
+    """A binary tree of median cuts, the bounding boxes of its nodes and their point counts."""
 
     def __init__(self, points: DataFrame, cell_points: int):
         total = points.count()
-        levels = min(MAX_LEVELS, int(np.ceil(np.log2(max(total, 1) / cell_points))))
+        levels = int(np.ceil(np.log2(max(total, 1) / cell_points)))
         # Spare levels are for cells that tied coordinates keep from being halved.
         self.depth = levels + SPARE_LEVELS if levels > 0 else 0
         nodes = 2 ** (self.depth + 1)
@@ -114,22 +119,26 @@ class _Cuts:
         if self.depth:
             want = max(SAMPLE_POINTS, 16 * 2**levels)
             rows = points.select("vec").sample(min(1.0, 1.2 * want / total), seed=7).limit(want)
-            sample = np.array([r["vec"] for r in rows.collect()], dtype=float)
+            sample = _matrix(rows.toArrow(), "vec")
             self._cut(1, sample, max(2.0, len(sample) / 2**levels))
 
     def _cut(self, node: int, sample: np.ndarray, enough: float) -> None:
-        """Cut where the smaller side is largest; a node with few sample points stays whole."""
+        """Cut across the widest side, or the next one where ties leave little on one half.
+
+        A node with few sample points, or all of them on one place, stays whole.
+        """
         if node >= 2**self.depth or len(sample) <= enough:
             return
         middle = np.sort(sample, axis=0)[(len(sample) - 1) // 2]
         below = np.where(sample < middle, sample, -np.inf).max(axis=0)
         best = (0, 0, np.inf)
-        for cuts in (middle, below):
-            left = (sample <= cuts).sum(axis=0)
-            side = np.minimum(left, len(sample) - left)
-            j = int(np.argmax(side))
-            if side[j] > best[0]:
-                best = (int(side[j]), j, float(cuts[j]))
+        for j in np.argsort(-np.ptp(sample, axis=0), kind="stable"):
+            for cut in (middle[j], below[j]):
+                left = int((sample[:, j] <= cut).sum())
+                if min(left, len(sample) - left) > best[0]:
+                    best = (min(left, len(sample) - left), int(j), float(cut))
+            if best[0] >= MIN_SHARE * len(sample):
+                break
         if best[0] == 0:
             return
         self.dim[node], self.at[node] = best[1], best[2]
@@ -152,52 +161,105 @@ class _Cuts:
 
         return cell("vec")
 
-    def measure(self, points: DataFrame) -> None:
-        """Bounding boxes from the points themselves: one row per cell."""
+    def measure(self, points: DataFrame, by_fold: bool) -> None:
+        """Boxes and counts from the points themselves: one row per cell (and fold)."""
         if not self.depth:
             return
         width = len(points.select("vec").first()["vec"])
-        boxes = points.groupBy("cell").agg(
+        fold = F.col("fold").cast("int") if by_fold else F.lit(0)
+        cells = points.groupBy("cell", fold.alias("fold")).agg(
             F.array(*[F.min(F.col("vec")[i]) for i in range(width)]).alias("lo"),
             F.array(*[F.max(F.col("vec")[i]) for i in range(width)]).alias("hi"),
+            F.count("*").alias("n"),
         )
+        rows = cells.toArrow()
+        cell, own = rows["cell"].to_numpy(), rows["fold"].to_numpy()
+        self.folds = np.unique(own)
         nodes = 2 ** (self.depth + 1)
         self.lo = np.full((nodes, width), np.inf)
         self.hi = np.full((nodes, width), -np.inf)
-        for row in boxes.collect():
-            self.lo[row["cell"]], self.hi[row["cell"]] = row["lo"], row["hi"]
-        for node in range(2**self.depth - 1, 0, -1):
+        self.count = np.zeros((nodes, len(self.folds)), dtype=np.int64)
+        np.minimum.at(self.lo, cell, _matrix(rows, "lo"))
+        np.maximum.at(self.hi, cell, _matrix(rows, "hi"))
+        np.add.at(self.count, (cell, np.searchsorted(self.folds, own)), rows["n"].to_numpy())
+        for level in range(self.depth - 1, -1, -1):
+            node = np.arange(2**level, 2 ** (level + 1))
             self.lo[node] = np.minimum(self.lo[2 * node], self.lo[2 * node + 1])
             self.hi[node] = np.maximum(self.hi[2 * node], self.hi[2 * node + 1])
+            self.count[node] = self.count[2 * node] + self.count[2 * node + 1]
+
+    def certain(self, most: int, by_fold: bool) -> Column:
+        """A squared radius that holds ``most`` usable points, infinite if there are fewer.
+
+        That of the home cell, or the distance to the farthest corner of the smallest box above
+        it with enough points outside the query's fold.
+        """
+        tree, depth = self, self.depth
+
+        @F.pandas_udf("double")
+        def radius(cell: pd.Series, vec: pd.Series, fold: pd.Series, r2: pd.Series) -> pd.Series:
+            found = r2.fillna(np.inf).to_numpy().copy()
+            open_ = np.flatnonzero(np.isinf(found))
+            if not len(open_):
+                return pd.Series(found)
+            x = np.stack(vec.to_numpy()[open_]).astype(float)
+            node = cell.to_numpy()[open_].astype(int)
+            mine = fold.to_numpy()[open_]
+            at = np.minimum(np.searchsorted(tree.folds, mine), len(tree.folds) - 1)
+            held = by_fold & (tree.folds[at] == mine)
+            left = np.arange(len(open_))
+            for _ in range(depth + 1):
+                usable = tree.count[node].sum(axis=1) - held * tree.count[node, at]
+                hit = np.flatnonzero(usable[left] >= most)
+                who = left[hit]
+                far = np.maximum(
+                    np.abs(x[who] - tree.lo[node[who]]), np.abs(x[who] - tree.hi[node[who]])
+                )
+                found[open_[who]] = (far**2).sum(axis=1) * (1 + 1e-9)
+                left = np.delete(left, hit)
+                node[left] //= 2
+            return pd.Series(found)
+
+        fold = F.col("fold").cast("int") if by_fold else F.lit(0)
+        return radius("cell", "vec", fold, "r2")
 
     def touched(self, sites: DataFrame) -> DataFrame:
-        """``(cell, sub, from_cell)``: cells whose box lies within the radius of a query."""
-        context = sites.sparkSession.sparkContext
-        boxes = context.broadcast((self.lo, self.hi))
+        """``(cell, sub, from_cell)``: cells whose box lies within the radius of a query.
+
+        Sites come sorted by block, so a task names a cell about once per block it works on.
+        """
+        boxes = sites.sparkSession.sparkContext.broadcast((self.lo, self.hi))
         depth, block_cells = self.depth, BLOCK
 
-        @F.pandas_udf("array<int>")
-        def cells(vec: pd.Series, r2: pd.Series) -> pd.Series:
+        def cells(batches):
             lo, hi = boxes.value
-            x = np.stack(vec.to_numpy()).astype(float)
-            limit = r2.to_numpy() * (1 + 1e-9)
-            found = []
-            step = max(1, block_cells // (2**depth * x.shape[1]))
-            for start in range(0, len(x), step):
-                who = np.arange(start, min(start + step, len(x)))
-                ends, node = np.append(who, who[-1] + 1), np.ones(len(who), dtype=int)
-                for _ in range(depth):
-                    who = np.repeat(who, 2)
-                    node = np.repeat(2 * node, 2)
-                    node[1::2] += 1
-                    gap = np.maximum(np.maximum(lo[node] - x[who], x[who] - hi[node]), 0.0)
-                    keep = np.isfinite(lo[node][:, 0]) & ((gap**2).sum(axis=1) <= limit[who])
-                    who, node = who[keep], node[keep].astype("int32")
-                cut = np.searchsorted(who, ends)
-                found += [node[a:b] for a, b in zip(cut[:-1], cut[1:])]
-            return pd.Series(found)
-
-        return sites.select("cell", "sub", F.explode(cells("vec", "r2")).alias("from_cell"))
+            for batch in batches:
+                table = pa.Table.from_batches([batch])
+                x = _matrix(table, "vec")
+                limit = table["r2"].to_numpy() * (1 + 1e-9)
+                block = np.stack([table["cell"].to_numpy(), table["sub"].to_numpy()], axis=1)
+                found = []
+                step = max(1, block_cells // (2**depth * x.shape[1]))
+                for start in range(0, len(x), step):
+                    who = np.arange(start, min(start + step, len(x)))
+                    node = np.ones(len(who), dtype=int)
+                    for _ in range(depth):
+                        who = np.repeat(who, 2)
+                        node = np.repeat(2 * node, 2)
+                        node[1::2] += 1
+                        gap = np.maximum(np.maximum(lo[node] - x[who], x[who] - hi[node]), 0.0)
+                        near = (gap**2).sum(axis=1) <= limit[who]
+                        keep = np.isfinite(lo[node][:, 0]) & near
+                        who, node = who[keep], node[keep]
+                    found.append(np.unique(np.column_stack([block[who], node]), axis=0))
+                rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(rows[:, i].astype(np.int32)) for i in range(3)],
+                    names=["cell", "sub", "from_cell"],
+                )
+
+        asked = sites.select("cell", "sub", "vec", "r2").sortWithinPartitions("cell", "sub")
+        return asked.mapInArrow(cells, "cell int, sub int, from_cell int")
 
 
 def _blocks(sites: DataFrame, cell_queries: int) -> DataFrame:
@@ -233,14 +295,10 @@ def _distances(by_fold: bool):
     def numbers(table: pa.Table, name: str) -> np.ndarray:
         return table[name].combine_chunks().to_numpy(zero_copy_only=False)
 
-    def places(table: pa.Table) -> np.ndarray:
-        flat = table["vec"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        return flat.reshape(table.num_rows, -1).astype(float)
-
     def blocks(asked: pa.Table, offered: pa.Table, limits: np.ndarray):
         """``(queries, points, d2)``: points in id order, those far from all queries left out."""
         points = np.argsort(numbers(offered, "id"), kind="stable")
-        r, q = places(offered)[points], places(asked)
+        r, q = _matrix(offered, "vec")[points], _matrix(asked, "vec")
         fold = (numbers(asked, "fold"), numbers(offered, "fold")[points]) if by_fold else None
         near_first = np.argsort(q[:, int(np.argmax(np.ptp(q, axis=0)))], kind="stable")
         step = max(1, min(256, block_cells // len(r)))

@@ -540,7 +540,10 @@ def knn_embeddings(spark, sf):
         F.col("embedding").cast("array<double>").alias("vec"),
         (F.col("label") == 0).cast("int").alias("y"),
     )
-    out = knn_target_mean(points, points.select("id", "vec"), KS, exclude="self")
+    # Small cells, so that the tree is used on small tables too.
+    out = knn_target_mean(
+        points, points.select("id", "vec"), KS, exclude="self", cell_points=256
+    )
     return out.select("id", *rounded(9, *[f"KNN_TARGET_MEAN_K{k}" for k in KS]))
 
 
@@ -582,12 +585,16 @@ def _knn_points(spark, sf) -> DataFrame:
 @query("knn_target_mean_oof", _knn_sql(KNN_POINTS_SQL, "q.fold <> r.fold"))
 def knn_out_of_fold(spark, sf):
     points = _knn_points(spark, sf)
-    out = knn_target_mean(points, points.select("id", "vec", "fold"), KS, exclude="fold")
+    out = knn_target_mean(
+        points, points.select("id", "vec", "fold"), KS, exclude="fold", cell_points=128
+    )
     return out.select("id", *rounded(9, *[f"KNN_TARGET_MEAN_K{k}" for k in KS]))
 
 
 @query("knn_target_mean_loo", _knn_sql(KNN_POINTS_SQL, "q.id <> r.id"))
 def knn_leave_one_out(spark, sf):
     points = _knn_points(spark, sf)
-    out = knn_target_mean(points, points.select("id", "vec"), KS, exclude="self")
+    out = knn_target_mean(
+        points, points.select("id", "vec"), KS, exclude="self", cell_points=64, chunk_cells=4
+    )
     return out.select("id", *rounded(9, *[f"KNN_TARGET_MEAN_K{k}" for k in KS]))

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from riskloom.operators import blend as B
 from riskloom.operators import encode as E
 from riskloom.operators import folds
+from riskloom.operators import neighbors as N
 from riskloom.operators.joins import attach, lookup
 from riskloom.operators.neighbors import knn_target_mean
 from riskloom.operators.ordered import rank_normalize, roc_auc
+from riskloom.session import settle
 
 
 def brute_auc(rows):
@@ -203,6 +205,31 @@ def test_knn_against_brute_force(spark, kind, exclude, cell, chunk):
         assert got[key] == pytest.approx(value), key
 
 
+def test_neighbour_tree_cuts_every_side_and_prunes(spark):
+    rng = np.random.default_rng(6)
+    vec = rng.random((20_000, 4))
+    vec[::5, 3] = 0.5  # ties as a filled median makes them
+    rows = [(int(i), [float(v) for v in x], int(i % 2), int(i % 5)) for i, x in enumerate(vec)]
+    points = spark.createDataFrame(rows, "id int, vec array<double>, y int, fold int")
+    points = settle(points.repartition(8).withColumn("y", F.col("y").cast("double")))
+    tree = N._Cuts(points, 80)
+    placed = settle(points.withColumn("cell", tree.cell_of()))
+    tree.measure(placed, True)
+    assert set(tree.dim[np.isfinite(tree.at)]) == {0, 1, 2, 3}
+    sites = placed.withColumnRenamed("id", "site").withColumn("sub", F.lit(0))
+
+    def reached(most):
+        within = N._radius(sites, placed, most, True)
+        rows = sites.join(within, "site", "left")
+        return settle(rows.withColumn("r2", tree.certain(most, True)))
+
+    # More than a cell holds outside the query's fold: a box above it gives the radius.
+    assert reached(100).filter(F.col("r2") == float("inf")).count() == 0
+    near = reached(20).withColumn("sub", F.col("site"))
+    cells = placed.select("cell").distinct().count()
+    assert tree.touched(near).distinct().count() / near.count() < 0.25 * cells
+
+
 def test_simplex_blend_against_all_vectors(scored):
     df, rows = scored
     weights, auc = B.simplex_blend(df, "y", ["a", "b", "c"], step=0.25, bins=50)
