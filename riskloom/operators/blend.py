@@ -7,11 +7,15 @@ from functools import reduce
 from operator import add
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordered import auc_by_column, roc_auc
-from riskloom.session import shuffle_width
+from riskloom.session import settle, shuffle_width
+
+BLOCK = 4_000_000
+EXACT_VECTORS = 16
 
 
 def blend(weights: Mapping[str, float], without: Sequence[str] = ()) -> Column:
@@ -32,54 +36,89 @@ def simplex_weights(wid: int, parts: int, units: int) -> tuple[float, ...]:
 
 
 def _spread(
-    df: DataFrame, label: str, scores: Sequence[str], units: int, alive: Sequence[int] = ()
+    df: DataFrame, label: str, scores: Sequence[str], units: int, alive: Sequence[int]
 ) -> DataFrame:
-    """Rows times grid vectors as ``(wid, y, blended)``, ids in lexicographic order of the vector.
+    """Rows times the ``alive`` grid vectors as ``(wid, y, blended)``.
 
-    The vectors are generated next to the rows, all of them or the ``alive`` ones; only partial
-    counts of the result are shuffled. Each row becomes many, so the rows are first spread over
-    all tasks.
+    Each row becomes many, so the rows are first spread over all tasks.
     """
     rows = df.select(F.col(label).cast("int").alias("y"), *scores).repartition(shuffle_width(df))
+    listed = F.split(F.lit(",".join(map(str, alive))), ",").cast("array<bigint>")
+    rows = rows.withColumn("wid", F.explode(listed))
     leading, base = range(len(scores) - 1), units + 1
-    if alive:
-        listed = F.split(F.lit(",".join(map(str, alive))), ",").cast("array<bigint>")
-        rows = rows.withColumn("wid", F.explode(listed))
-        place = lambda j: F.floor(F.col("wid") / F.lit(base ** (len(leading) - 1 - j)))
-        rows = rows.withColumns({f"_u{j}": (place(j) % base).cast("int") for j in leading})
-    left, wid, terms = F.lit(units), F.lit(0), []
+    left, terms = F.lit(units), []
     for j in leading:
-        if not alive:
-            rows = rows.withColumn(f"_u{j}", F.explode(F.sequence(F.lit(0), left)))
-        unit = F.col(f"_u{j}")
-        left, wid = left - unit, wid * base + unit
+        place = F.floor(F.col("wid") / F.lit(base ** (len(leading) - 1 - j)))
+        unit = (place % base).cast("int")
+        left = left - unit
         terms.append(unit / F.lit(float(units)) * F.col(scores[j]).cast("double"))
     terms.append(left / F.lit(float(units)) * F.col(scores[-1]).cast("double"))
-    return rows.select(wid.cast("long").alias("wid"), "y", reduce(add, terms).alias("blended"))
+    return rows.select("wid", "y", reduce(add, terms).alias("blended"))
+
+
+def _vectors(parts: int, units: int) -> np.ndarray:
+    """Ids of all grid vectors, in lexicographic order of the vector."""
+    lead = [()]
+    for _ in range(parts - 1):
+        lead = [(*v, u) for v in lead for u in range(units + 1 - sum(v))]
+    return np.array([reduce(lambda wid, u: wid * (units + 1) + u, v, 0) for v in lead])
 
 
 def grid_bounds(
-    df: DataFrame, label: str, scores: Sequence[str], units: int, bins: int = 256
+    df: DataFrame,
+    label: str,
+    scores: Sequence[str],
+    units: int,
+    bins: int = 256,
+    alive: Sequence[int] = (),
 ) -> DataFrame:
     """``(wid, lower, upper)``: certain limits of each blend's AUC from binned blends.
 
-    The shuffle holds at most one row per vector and bin and map task, whatever the table size;
-    pairs inside one bin count as all lost for the lower and all won for the upper limit.
+    A task blends blocks of rows with all vectors (or the ``alive`` ones) and sends on counts, at
+    most one row per vector and bin, whatever the table size. Pairs inside one bin count as all
+    lost for the lower and all won for the upper limit.
     """
     ends = df.agg(
         F.min(F.least(*scores)).cast("double").alias("lo"),
         F.max(F.greatest(*scores)).cast("double").alias("hi"),
     ).first()
-    width = max(ends["hi"] - ends["lo"], 1e-300)
+    if ends["lo"] is None:
+        return df.sparkSession.createDataFrame([], "wid long, lower double, upper double")
+    low, width = ends["lo"], max(ends["hi"] - ends["lo"], 1e-300)
+    wids = np.array(alive) if len(alive) else _vectors(len(scores), units)
+    weights = np.array([simplex_weights(int(w), len(scores), units) for w in wids])
+    block = max(1, BLOCK // len(wids))
+
+    def count(batches):
+        counts = [np.zeros((len(wids), bins + 1), np.int64) for _ in range(2)]
+        for batch in batches:
+            y = batch.column(0).to_numpy()
+            values = [batch.column(i + 1).to_numpy() for i in range(weights.shape[1])]
+            for start in range(0, len(y), block):
+                part = slice(start, start + block)
+                # Added in the order of the exact blends, so both round alike.
+                blended = weights[:, :1] * values[0][part]
+                for j in range(1, len(values)):
+                    blended = blended + weights[:, j : j + 1] * values[j][part]
+                at = np.floor((blended - low) / width * bins).astype(np.int64)
+                at = np.clip(at, 0, bins) + np.arange(len(wids))[:, None] * (bins + 1)
+                for n, own in zip(counts, (y[part] == 1, y[part] != 1)):
+                    n += np.bincount(at[:, own].ravel(), minlength=n.size).reshape(n.shape)
+        vector, place = np.nonzero(counts[0] + counts[1])
+        for start in range(0, len(vector), 100_000):
+            v, b = vector[start : start + 100_000], place[start : start + 100_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (wids[v], b, counts[0][v, b], counts[1][v, b])],
+                names=["wid", "bin", "pos", "neg"],
+            )
+
+    rows = df.select(
+        F.col(label).cast("int").alias("y"), *[F.col(s).cast("double").alias(s) for s in scores]
+    )
     binned = (
-        _spread(df, label, scores, units)
-        .select(
-            "wid",
-            F.floor((F.col("blended") - ends["lo"]) / width * bins).cast("int").alias("bin"),
-            "y",
-        )
+        rows.mapInArrow(count, "wid long, bin long, pos long, neg long")
         .groupBy("wid", "bin")
-        .agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     )
     per_weight = Window.partitionBy("wid")
     below = per_weight.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -107,13 +146,18 @@ def simplex_blend(
 ) -> tuple[dict[str, float], float]:
     """The grid's best weights and their exact AUC; the first vector wins a tie.
 
-    Binned limits rule out every vector that cannot win; the others are scored exactly.
+    Binned limits rule out every vector that cannot win. While more than a few remain, they are
+    binned more finely; the last ones are scored exactly.
     """
     units = round(1 / step)
-    known = df.select(label, *scores).dropna()
-    limits = grid_bounds(known, label, scores, units, bins).collect()
-    floor = max(r["lower"] for r in limits) - 1e-12
-    alive = [r["wid"] for r in limits if r["upper"] >= floor]
+    known = settle(df.select(label, *scores).dropna())
+    alive: list[int] = []
+    for finer in (bins, 32 * bins):
+        limits = grid_bounds(known, label, scores, units, finer, alive).collect()
+        floor = max(r["lower"] for r in limits) - 1e-12
+        alive = sorted(r["wid"] for r in limits if r["upper"] >= floor)
+        if len(alive) <= EXACT_VECTORS:
+            break
     exact = roc_auc(_spread(known, label, scores, units, alive), "y", "blended", by=["wid"])
     best = exact.orderBy(F.desc("auc"), "wid").first()
     return dict(zip(scores, simplex_weights(best["wid"], len(scores), units))), best["auc"]

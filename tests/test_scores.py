@@ -244,6 +244,25 @@ def test_simplex_blend_against_all_vectors(scored):
     assert tuple(weights.values()) == best_w and sum(weights.values()) == 1
 
 
+def test_simplex_blend_of_nearly_equal_scores(spark):
+    rng = random.Random(9)
+    rows = []
+    for _ in range(400):
+        a = round(rng.random(), 3)
+        rows.append((int(rng.random() < a), a, a + rng.random() * 1e-6, a + rng.random() * 1e-6))
+    df = spark.createDataFrame(rows, "y int, a double, b double, c double")
+    weights, auc = B.simplex_blend(df, "y", ["a", "b", "c"], step=0.1, bins=16)
+    found = {}
+    for i, j in itertools.product(range(11), range(11)):
+        if i + j <= 10:
+            w = (i / 10, j / 10, (10 - i - j) / 10)
+            blends = [(r[0], w[0] * r[1] + w[1] * r[2] + w[2] * r[3]) for r in rows]
+            found[w] = brute_auc(blends)
+    best = max(found.values())
+    assert auc == pytest.approx(best, abs=1e-12)
+    assert found[tuple(weights.values())] == pytest.approx(best, abs=1e-12)
+
+
 def test_ridge_equals_the_closed_form(scored):
     df, rows = scored
     names = ["a", "b", "c"]
