@@ -73,13 +73,16 @@ def transform_prefix(df: DataFrame, prefix: str, change) -> DataFrame:
     return df.withColumns({c: change(F.col(c)) for c in df.columns if c.startswith(prefix)})
 
 
-def narrowed(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Double to float and long to int, as a last step before a table is written."""
-    to = {T.DoubleType(): "float", T.LongType(): "int"}
+def narrowed(df: DataFrame, whole: Sequence[str] = ()) -> DataFrame:
+    """Double to float, as a last step before a table is written.
+
+    Of the longs only those declared in ``whole`` become int: keys and counts may be larger.
+    """
+    to = {T.DoubleType(): "float"} | ({T.LongType(): "int"} if whole else {})
     return df.select(
         *[
             F.col(f.name).cast(to[f.dataType]).alias(f.name)
-            if f.dataType in to and f.name not in keep
+            if f.dataType in to and (f.dataType == T.DoubleType() or f.name in whole)
             else F.col(f.name)
             for f in df.schema
         ]

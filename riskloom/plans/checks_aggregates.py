@@ -83,7 +83,6 @@ def child_to_parent(spark, sf):
                       coalesce(sum(CAST(o_orderstatus = 'O' AS INTEGER)), 0) AS n_open,
                       {money_mean_sql("o_totalprice")} AS mean_price
                FROM orders GROUP BY 1) a ON a.o_custkey = c.c_custkey
-    WHERE a.n_open > 0 OR a.n_open IS NULL
     """,
 )
 def guarded_ratios(spark, sf):
@@ -102,9 +101,7 @@ def guarded_ratios(spark, sf):
     customers = table(spark, sf, "customer").select(
         "c_custkey", F.abs("c_acctbal").alias("bal")
     )
-    joined = G.left_onto(customers, per_customer, on="c_custkey").filter(
-        "n_open > 0 or n_open is null"
-    )
+    joined = G.left_onto(customers, per_customer, on="c_custkey")
     return joined.select(
         "c_custkey",
         "n_orders",

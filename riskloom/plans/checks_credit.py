@@ -259,7 +259,7 @@ def _ratios(source: str) -> dict[str, str]:
         "EXT1_AGE_RATIO": "EXT_SOURCE_1 / (DAYS_BIRTH / -365.25 + 1e-8)",
         "EXT1_INCOME_RATIO": "EXT_SOURCE_1 / (AMT_INCOME_TOTAL + 1e-8)",
         "CREDIT_EXT3_RATIO":
-            "CASE WHEN EXT_SOURCE_3 > 0 THEN AMT_CREDIT / (EXT_SOURCE_3 + 1e-8) END",
+            "AMT_CREDIT / (EXT_SOURCE_3 + 1e-8) / CASE WHEN EXT_SOURCE_3 > 0 THEN 1 ELSE 1e8 END",
         "EXT2_EMPLOYED_PROD": "EXT_SOURCE_2 * DAYS_EMPLOYED",
         "LOAN_TERM_MONTHS": "AMT_CREDIT / (AMT_ANNUITY + 1e-8)",
         "INCOME_PER_FAMILY_MEMBER": "AMT_INCOME_TOTAL / (CNT_FAM_MEMBERS + 1)",
@@ -269,31 +269,34 @@ def _ratios(source: str) -> dict[str, str]:
         "GOODS_INCOME_RATIO": "AMT_GOODS_PRICE / (AMT_INCOME_TOTAL + 1)",
         "GOODS_CREDIT_RATIO": "AMT_CREDIT / (AMT_GOODS_PRICE + 1)",
         "DOWNPAYMENT_INCOME_STRAIN": "(AMT_GOODS_PRICE - AMT_CREDIT) / (AMT_INCOME_TOTAL + 1)",
-        "CREDIT_SEEK_VELOCITY": "CASE WHEN AMT_REQ_CREDIT_BUREAU_YEAR > 0 THEN "
-        "AMT_REQ_CREDIT_BUREAU_MON / (AMT_REQ_CREDIT_BUREAU_YEAR / 12 + 1e-8) END",
+        "CREDIT_SEEK_VELOCITY": "AMT_REQ_CREDIT_BUREAU_MON / "
+        "(AMT_REQ_CREDIT_BUREAU_YEAR / 12 + 1e-8) / "
+        "CASE WHEN AMT_REQ_CREDIT_BUREAU_YEAR > 0 THEN 1 ELSE 1e8 END",
         "ANNUAL_ANNUITY_INCOME_RATIO": "AMT_ANNUITY * 12 / (AMT_INCOME_TOTAL + 1)",
         "EMPLOYMENT_DURATION_FRAC": "DAYS_EMPLOYED / (DAYS_BIRTH + 1)",
     }
 
 
-def _guarded_against_zero(df: DataFrame) -> DataFrame:
-    """Blank the two ratios where the denominator is only the epsilon: 1e8-fold noise."""
-    return df.withColumns(
-        {
-            "CREDIT_EXT3_RATIO": F.when(F.col("EXT_SOURCE_3") > 0, F.col("CREDIT_EXT3_RATIO")),
-            "CREDIT_SEEK_VELOCITY": F.when(
-                F.col("AMT_REQ_CREDIT_BUREAU_YEAR") > 0, F.col("CREDIT_SEEK_VELOCITY")
-            ),
-        }
-    )
+#: Ratios whose denominator may be the epsilon alone, with what then was zero.
+OVER_EPSILON = {
+    "CREDIT_EXT3_RATIO": "EXT_SOURCE_3",
+    "CREDIT_SEEK_VELOCITY": "AMT_REQ_CREDIT_BUREAU_YEAR",
+    "LATE_TO_ACTIVE_RATIO": "BUREAU_ACTIVE_COUNT",
+}
+
+
+def _at_one_scale(df: DataFrame) -> DataFrame:
+    """Ratios over the epsilon alone brought to the scale of the others, to round alike."""
+    scale = {c: F.when(F.col(d) > 0, 1.0).otherwise(1e8) for c, d in OVER_EPSILON.items()}
+    return df.withColumns({c: F.col(c) / by for c, by in scale.items()})
 
 
 CROSS = {
     "TOTAL_DTI": "(ACTIVE_CREDIT_SUM + AMT_CREDIT) / (AMT_INCOME_TOTAL + 1)",
     "TIME_DECAYED_DTI": "(ACTIVE_CREDIT_SUM_DECAYED + AMT_CREDIT) / (AMT_INCOME_TOTAL + 1)",
     "DEBT_ACCEL_RATE": "BUREAU_AMT_CREDIT_SUM / (BUREAU_AMT_CREDIT_MEAN * 2 + 1e-8)",
-    "LATE_TO_ACTIVE_RATIO": "CASE WHEN BUREAU_ACTIVE_COUNT > 0 "
-    "THEN INST_LATE_FRAC / (BUREAU_ACTIVE_COUNT + 1e-8) END",
+    "LATE_TO_ACTIVE_RATIO": "INST_LATE_FRAC / (BUREAU_ACTIVE_COUNT + 1e-8) / "
+    "CASE WHEN BUREAU_ACTIVE_COUNT > 0 THEN 1 ELSE 1e8 END",
     "ANNUITY_TO_PEAK_INST_RATIO": "AMT_ANNUITY / (INST_MAX_INSTALMENT + 1e-8)",
 }
 
@@ -367,10 +370,7 @@ def credit_features(spark, sf):
     children = credit.child_features(t)
     wide = credit.G.left_onto(application, *children.values(), on=KEY)
     wide = credit.cross_table_features(credit.applicant_features(wide, raw))
-    wide = _guarded_against_zero(wide).withColumn(
-        "LATE_TO_ACTIVE_RATIO",
-        F.when(F.col("BUREAU_ACTIVE_COUNT") > 0, F.col("LATE_TO_ACTIVE_RATIO")),
-    )
+    wide = _at_one_scale(wide)
     last = ["CC_UTIL_P95_12M", "POS_DPD_EMA_3M", "PREV_2YR_REFUSED_VELOCITY"]
     wide = wide.withColumns({c: F.round(c, 6) for c in last})
     shown = [*CLEAN_NUMBERS, *_ratios("a"), *CROSS, "NAN_COUNT", *last]

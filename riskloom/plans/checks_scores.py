@@ -492,8 +492,9 @@ def select_strategy(spark, sf):
 @query(
     "zero_importance",
     """
-    SELECT event_type AS feature, count(*) AS n_zero
-    FROM (SELECT event_type, user_id % 5 AS fold, sum(CAST(value > 30 AS INTEGER)) AS importance
+    SELECT feature, count(*) AS n_zero
+    FROM (SELECT event_type || '-' || (event_id % 50) AS feature, user_id % 5 AS fold,
+                 sum(CAST(value > 120 AS INTEGER)) AS importance
           FROM events GROUP BY 1, 2)
     WHERE importance = 0 GROUP BY 1 HAVING count(*) = 5
     """,
@@ -501,10 +502,12 @@ def select_strategy(spark, sf):
 def zero_importance(spark, sf):
     per_fold = G.to_parent(
         table(spark, sf, "events").select(
-            F.col("event_type").alias("feature"), (F.col("user_id") % 5).alias("fold"), "value"
+            F.concat_ws("-", "event_type", F.col("event_id") % 50).alias("feature"),
+            (F.col("user_id") % 5).alias("fold"),
+            "value",
         ),
         ["feature", "fold"],
-        {"importance": A.tally(F.col("value") > 30)},
+        {"importance": A.tally(F.col("value") > 120)},
     )
     return B.zero_in_all_folds(per_fold, 5)
 

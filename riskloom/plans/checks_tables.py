@@ -75,9 +75,9 @@ def _profile_sql() -> str:
     source = "(SELECT * REPLACE (nullif(o_orderpriority, '5-LOW') AS o_orderpriority) FROM orders)"
     return " UNION ALL ".join(
         f"SELECT {i} AS position, '{c}' AS column_name, '{t}' AS type, count(*) AS rows, "
-        f"count(*) - count({c}) AS nulls, {shown} AS low FROM {source}"
+        f"count(*) - count({c}) AS nulls, CAST(min({c}) AS VARCHAR) AS low, "
+        f"CAST(max({c}) AS VARCHAR) AS high FROM {source}"
         for i, (c, t) in enumerate(columns.items())
-        for shown in [f"CAST(min({c}) AS VARCHAR)" if t == "string" else "CAST(NULL AS VARCHAR)"]
     )
 
 
@@ -86,10 +86,7 @@ def table_profile(spark, sf):
     orders = table(spark, sf, "orders").withColumn(
         "o_orderpriority", X.without(F.col("o_orderpriority"), "5-LOW")
     )
-    low = F.when(F.col("type") == "string", F.col("low")).alias("low")
-    return S.profile(orders).select(
-        "position", F.col("column").alias("column_name"), "type", "rows", "nulls", low
-    )
+    return S.profile(orders).withColumnRenamed("column", "column_name")
 
 
 @query(
@@ -221,14 +218,15 @@ def prune_columns(spark, sf):
 @query(
     "narrow_types",
     """
-    SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
+    SELECT o_orderkey * 4294967296 AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
            o_orderstatus, CAST(o_totalprice AS FLOAT) AS o_totalprice
     FROM orders
     """,
 )
 def narrow_types(spark, sf):
-    orders = table(spark, sf, "orders")
-    return X.narrowed(orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"))
+    orders = table(spark, sf, "orders").withColumn("o_orderkey", F.col("o_orderkey") * 2**32)
+    rows = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return X.narrowed(rows, whole=["o_custkey"])
 
 
 @query(

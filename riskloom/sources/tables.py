@@ -85,7 +85,7 @@ def profile(df: DataFrame) -> DataFrame:
     A single aggregation without shuffle of the rows themselves.
     """
     shown = {
-        f.name: F.col(f"`{f.name}`").cast("string")
+        f.name: F.col(f"`{f.name}`")
         for f in df.schema
         if f.dataType.typeName() not in ("array", "map", "struct", "binary")
     }
@@ -103,8 +103,8 @@ def profile(df: DataFrame) -> DataFrame:
             F.lit(f.dataType.simpleString()).alias("type"),
             F.col("rows"),
             (F.col("rows") - F.col(f"n_{i}")).alias("nulls"),
-            (F.col(f"lo_{i}") if f.name in shown else missing).alias("low"),
-            (F.col(f"hi_{i}") if f.name in shown else missing).alias("high"),
+            (F.col(f"lo_{i}").cast("string") if f.name in shown else missing).alias("low"),
+            (F.col(f"hi_{i}").cast("string") if f.name in shown else missing).alias("high"),
         )
         for i, f in enumerate(df.schema)
     ]

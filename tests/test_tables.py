@@ -58,7 +58,8 @@ def test_prune_ignores_absent_columns(spark):
 
 def test_narrowing(spark):
     df = spark.createDataFrame([(1, 2.5, "a")], "k long, v double, t string")
-    assert X.narrowed(df).dtypes == [("k", "int"), ("v", "float"), ("t", "string")]
+    assert X.narrowed(df).dtypes == [("k", "bigint"), ("v", "float"), ("t", "string")]
+    assert X.narrowed(df, ["k"]).dtypes == [("k", "int"), ("v", "float"), ("t", "string")]
 
 
 def test_sentinel_flag_uses_the_original_value(spark):
