@@ -15,6 +15,7 @@ from operator import add
 
 from pyspark.ml import Estimator
 from pyspark.ml.classification import (
+    DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
     RandomForestClassifier,
@@ -52,6 +53,10 @@ def random_forest(seed: int, **params) -> Estimator:
     return RandomForestClassifier(seed=seed, featuresCol=FEATURES, **settings)
 
 
+def decision_tree(seed: int, **params) -> Estimator:
+    return DecisionTreeClassifier(seed=seed, featuresCol=FEATURES, **params)
+
+
 def logistic(seed: int = 0, **params) -> Estimator:
     return LogisticRegression(featuresCol=FEATURES, **params)
 
