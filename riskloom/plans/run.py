@@ -18,7 +18,7 @@ from riskloom.functions.expressions import guarded_ratio, narrowed
 from riskloom.operators import clean, folds
 from riskloom.operators import models as M
 from riskloom.operators.encode import encode_per_fold
-from riskloom.operators.joins import attach
+from riskloom.operators.joins import with_group_key
 from riskloom.operators.neighbors import knn_target_mean, vector
 from riskloom.plans import credit
 from riskloom.plans.evaluation import Evaluation, default_learners, evaluate
@@ -93,7 +93,7 @@ def child_metas(
     for name in names:
         rows = tables[name]
         if name == "bureau_balance":
-            rows = attach(rows, bridge, [credit.CREDIT], "inner")
+            rows = with_group_key(rows, bridge, credit.CREDIT, [credit.APPLICANT])
         features = [
             c for c in rows.columns
             if c not in (credit.APPLICANT, credit.TARGET, CHILD_MODELS[name])

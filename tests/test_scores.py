@@ -150,9 +150,18 @@ def test_lookup_with_a_heavy_key(spark, how):
     want = sorted(map(str, left.join(dim, "k", how).collect()))
     assert sorted(map(str, lookup(left, dim, ["k"], how, 0.05).collect())) == want
     assert sorted(map(str, attach(left, dim, ["k"], how, max_rows=3).collect())) == want
+    assert sorted(map(str, attach(left, dim, ["k"], how, max_bytes=99).collect())) == want
     assert sorted(map(str, attach(left, dim, ["k"], how).collect())) == want
 
 
+def test_lookup_reads_its_rows_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 7 AS k", "id AS v").write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    dim = spark.createDataFrame([(k, f"d{k}") for k in range(5)], "k long, d string")
+    plan = lookup(rows, dim, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1
+
+
 def brute_knn(refs, queries, ks, allowed):
     out = {}
     for q in queries:
