@@ -137,11 +137,13 @@ def oof_scores(
     learners: Sequence[Learner],
     k: int = 5,
     early_stop_share: float = 0.0,
+    parallel: int = 4,
 ) -> OutOfFold:
     """Score every training row out of fold and every test row with the mean over folds.
 
     ``train`` carries ``fold``; ``features`` may differ per learner. With ``early_stop_share`` the
-    boosted learners stop on rows taken from the training folds, never on the held-out fold.
+    boosted learners stop on rows taken from the training folds, never on the held-out fold. Fits
+    of one learner run side by side.
     """
     per_learner = features if isinstance(features, Mapping) else {x.name: features for x in learners}
     spark = train.sparkSession
@@ -157,27 +159,32 @@ def oof_scores(
             matrix = matrix.withColumn("_stop", inner)
         matrix = settle(matrix)
         unseen = None if test is None else settle(vectors(assemble(test, columns, [key])))
+        params = dict(learner.params)
+        if early_stop_share and learner.make is boosted_trees:
+            params["early_stop"] = "_stop"
+
+        def fitted(task: tuple[int, int]):
+            fold, seed = task
+            fit_rows = vectors(matrix, fold).filter(F.col("fold") != fold)
+            return learner.make(seed=seed, labelCol=label, **params).fit(fit_rows)
+
+        tasks = [(fold, seed) for fold in range(k) for seed in learner.seeds]
+        with ThreadPool(min(parallel, len(tasks))) as pool:
+            models = dict(zip(tasks, pool.map(fitted, tasks)))
         held_out, test_columns = [], []
         for fold in range(k):
-            seen = vectors(matrix, fold)
-            fit_rows = seen.filter(F.col("fold") != fold)
-            rest = seen.filter(F.col("fold") == fold).select(key, FEATURES)
+            rest = vectors(matrix, fold).filter(F.col("fold") == fold).select(key, FEATURES)
             names = []
             for seed in learner.seeds:
-                params = dict(learner.params)
-                if early_stop_share and learner.make is boosted_trees:
-                    params["early_stop"] = "_stop"
-                model = learner.make(seed=seed, labelCol=label, **params).fit(fit_rows)
                 name = f"_p_{fold}_{seed}"
-                rest = positive_probability(model, rest, name)
+                rest = positive_probability(models[fold, seed], rest, name)
                 if unseen is not None:
-                    unseen = positive_probability(model, unseen, name)
+                    unseen = positive_probability(models[fold, seed], unseen, name)
                 names.append(name)
-                if seed == learner.seeds[0]:
-                    importances += [
-                        (learner.name, fold, c, v)
-                        for c, v in zip(columns, _importances(model, columns))
-                    ]
+            importances += [
+                (learner.name, fold, c, v)
+                for c, v in zip(columns, _importances(models[fold, learner.seeds[0]], columns))
+            ]
             test_columns += names
             held_out.append(rest.select(key, _mean_of(names).alias(learner.name)))
         scored = reduce(DataFrame.unionByName, held_out)

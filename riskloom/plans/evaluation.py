@@ -58,12 +58,14 @@ def evaluate(
     seed: int = 42,
     check_drift: bool = True,
     early_stop_share: float = 0.1,
+    ridge_alphas: Sequence[float] = (),
 ) -> Evaluation:
     """Score ``train`` out of fold and ``test`` by the best of five strategies.
 
     ``encoded`` text columns are target-encoded for the boosted learners; the forest sees category
     codes of all text columns. ``without`` leaves learners out of every blend; the static weights
-    are then scaled back to 1 and the grid is skipped.
+    are then scaled back to 1 and the grid is skipped. ``ridge_alphas`` adds stackers of other
+    strengths to the strategies.
     """
     learners = [x for x in (learners or default_learners()) if x.name not in without]
     weights = dict(weights or WEIGHTS)
@@ -77,8 +79,8 @@ def evaluate(
         codes = clean.category_codes(train, c, f"{c}_CODE")
         train = clean.index_category(train, codes, c, f"{c}_CODE")
         test = clean.index_category(test, codes, c, f"{c}_CODE")
-    train_matrix = encode.encode_per_fold(train, encoded, label, k)
-    test_matrix = encode.encode_full(train, test, encoded, label, keep=True)
+    train_matrix = settle(encode.encode_per_fold(train, encoded, label, k))
+    test_matrix = settle(encode.encode_full(train, test, encoded, label, keep=True))
     te = [f"{c}_TE" for c in encoded]
     codes = [f"{c}_CODE" for c in text]
     rest = [f"{c}_CODE" for c in text if c not in encoded]
@@ -97,8 +99,8 @@ def evaluate(
     )
     rows, unseen = rank_normalize(oof.train, names), rank_normalize(oof.test, names)
     ranks = [f"{n}_rank" for n in names]
-    ridge = B.fit_ridge(rows, label, names, (RIDGE_ALPHA,))[RIDGE_ALPHA]
-    ridge_rank = B.fit_ridge(rows, label, ranks, (RIDGE_ALPHA,))[RIDGE_ALPHA]
+    ridge = B.fit_ridge(rows, label, names, (RIDGE_ALPHA, *ridge_alphas))
+    ridge_rank = B.fit_ridge(rows, label, ranks, (RIDGE_ALPHA, *ridge_alphas))
     kept = {n: w for n, w in weights.items() if n in names}
     scale_back = [n for n in weights if n not in names]
     static = B.blend(weights, scale_back) if scale_back else B.blend(kept)
@@ -108,15 +110,20 @@ def evaluate(
     on_train = {
         "static": static,
         "static_rank": static_rank,
-        "stacked_ridge": B.ridge_out_of_fold(names, ridge),
-        "stacked_ridge_rank": B.ridge_out_of_fold(ranks, ridge_rank),
+        "stacked_ridge": B.ridge_out_of_fold(names, ridge[RIDGE_ALPHA]),
+        "stacked_ridge_rank": B.ridge_out_of_fold(ranks, ridge_rank[RIDGE_ALPHA]),
     }
     on_test = {
         "static": static,
         "static_rank": static_rank,
-        "stacked_ridge": B.ridge_full(names, ridge),
-        "stacked_ridge_rank": B.ridge_full(ranks, ridge_rank),
+        "stacked_ridge": B.ridge_full(names, ridge[RIDGE_ALPHA]),
+        "stacked_ridge_rank": B.ridge_full(ranks, ridge_rank[RIDGE_ALPHA]),
     }
+    for alpha in ridge_alphas:  # the sweep: one more strategy per strength and scale
+        tag = f"{alpha:g}".replace(".", "_")
+        for name, on, fits in (("ridge", names, ridge), ("ridge_rank", ranks, ridge_rank)):
+            on_train[f"stacked_{name}_{tag}"] = B.ridge_out_of_fold(on, fits[alpha])
+            on_test[f"stacked_{name}_{tag}"] = B.ridge_full(on, fits[alpha])
     grid_weights: dict[str, float] = {}
     if not without and len(names) > 1:
         grid_weights, _ = B.simplex_blend(rows, label, names, GRID_STEP)

@@ -22,7 +22,7 @@ from riskloom.operators.joins import with_group_key
 from riskloom.operators.neighbors import knn_target_mean, vector
 from riskloom.plans import credit
 from riskloom.plans.evaluation import Evaluation, default_learners, evaluate
-from riskloom.session import settle
+from riskloom.session import drop_written, settle
 from riskloom.sources import tables as S
 
 log = logging.getLogger("riskloom")
@@ -61,6 +61,10 @@ class Settings:
     child_models: Sequence[str] = ()
     reconstruct: bool = False
     search: dict = field(default_factory=dict)
+    search_share: float = 1.0
+    fold_safe_neighbours: bool = False
+    gate_drift: bool = False
+    ridge_alphas: Sequence[float] = ()
     tag: str = "full"
 
     @classmethod
@@ -130,9 +134,12 @@ def reconstructions(
 
 
 def add_neighbours(
-    train: DataFrame, test: DataFrame, ks: Sequence[int]
+    train: DataFrame, test: DataFrame, ks: Sequence[int], k: int = 0, seed: int = 42
 ) -> tuple[DataFrame, DataFrame]:
-    """Target means of the nearest applicants, each training row left out of its own mean."""
+    """Target means of the nearest applicants, each training row left out of its own mean.
+
+    With ``k`` folds, the ones the evaluation takes, a row sees no label of its own fold.
+    """
     key, ratio = credit.APPLICANT, "KNN_CREDIT_ANNUITY_RATIO"
     columns = [c for c in credit.EXT_SOURCES if c in train.columns]
     if not columns:
@@ -151,11 +158,17 @@ def add_neighbours(
         )
         return filled.select(F.col(key).alias("id"), place.alias("vec"), *extra)
 
-    refs = settle(points(train, F.col(credit.TARGET).alias("y")))
+    extra = [F.col(credit.TARGET).alias("y")]
+    asked = ["id", "vec"]
+    if k:
+        train = settle(folds.stratified_folds(train, key, credit.TARGET, k, seed))
+        extra, asked = [*extra, "fold"], [*asked, "fold"]
+    refs = settle(points(train, *extra))
+    train = train.drop("fold") if k else train
     most = refs.count() - 1
     usable = sorted({min(k, most) for k in ks if min(k, most) > 1})
-    own = knn_target_mean(refs, refs.select("id", "vec"), usable, exclude="self")
-    other = knn_target_mean(refs, points(test), usable)
+    own = knn_target_mean(refs, refs.select(*asked), usable, exclude="fold" if k else "self")
+    other = knn_target_mean(refs.select("id", "vec", "y"), points(test), usable)
     return (
         train.join(own.withColumnRenamed("id", key), key, "left"),
         test.join(other.withColumnRenamed("id", key), key, "left"),
@@ -200,16 +213,18 @@ def run(
     out_dir = out_dir.rstrip("/")
     tables = load(spark, data_dir)
     train, test = build_features(tables, f"{out_dir}/stages", settings)
-    train, test = settle(train), settle(test)
-    log.info("run %s: %d columns", run_id, len(train.columns))
+    train, test = _counted(train, "train"), _counted(test, "test")
+    if settings.gate_drift:
+        train, test = gated(train, test, settings)
     if settings.neighbours:
-        train, test = add_neighbours(train, test, settings.neighbours)
+        safe = settings.folds if settings.fold_safe_neighbours else 0
+        train, test = add_neighbours(train, test, settings.neighbours, safe, settings.seed)
     learners = default_learners(settings.rounds)
     if settings.search:
         learners = tuned(train, settings, learners)
     result = evaluate(
         train, test, credit.APPLICANT, credit.TARGET, credit.TARGET_ENCODED, learners,
-        k=settings.folds, seed=settings.seed,
+        k=settings.folds, seed=settings.seed, ridge_alphas=settings.ridge_alphas,
     )
     S.write_scores(
         result.scores, credit.APPLICANT, "score", f"{out_dir}/submission_{run_id}_{settings.tag}"
@@ -218,14 +233,51 @@ def run(
     return result
 
 
+def _counted(df: DataFrame, stage: str) -> DataFrame:
+    """The stage computed once, its rows, columns and nulls logged on the way."""
+    rows, seen = S.watched(df, stage)
+    rows = settle(rows)
+    found = seen.get
+    log.info(
+        "%s: %d rows, %d columns, %d nulls", stage, found["rows"], found["columns"], found["nulls"]
+    )
+    return rows
+
+
+def gated(
+    train: DataFrame, test: DataFrame, settings: Settings
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables without the numbers that tell them apart and bring a forest little gain."""
+    numbers = [
+        c for c, kind in train.dtypes
+        if kind != "string" and c not in (credit.APPLICANT, credit.TARGET) and c in test.columns
+    ]
+    folded = folds.stratified_folds(
+        train, credit.APPLICANT, credit.TARGET, settings.folds, settings.seed
+    )
+    scored = M.oof_scores(
+        folded, None, numbers, credit.TARGET, credit.APPLICANT,
+        [M.Learner("gain", M.random_forest)], settings.folds,
+    )
+    gate = M.drift_gate(M.column_drift(train, test, numbers), scored.importances)
+    gone = [r["feature"] for r in gate.filter("dropped").collect()]
+    log.info("drift gate drops %s", gone)
+    return train.drop(*gone), test.drop(*gone)
+
+
 def tuned(train: DataFrame, settings: Settings, learners: list[M.Learner]) -> list[M.Learner]:
     """Learners with the best parameters of their grid; a learner without a grid stays as it is."""
     numbers = [
         c for c, kind in train.dtypes
         if kind != "string" and c not in (credit.APPLICANT, credit.TARGET)
     ]
+    rows = train
+    if settings.search_share < 1:
+        rows = folds.stratified_sample(
+            train, credit.APPLICANT, credit.TARGET, settings.search_share, settings.seed
+        )
     folded = folds.stratified_folds(
-        train, credit.APPLICANT, credit.TARGET, settings.folds, settings.seed
+        rows, credit.APPLICANT, credit.TARGET, settings.folds, settings.seed
     )
     text = [c for c in credit.TARGET_ENCODED if c in train.columns]
     encoded = encode_per_fold(folded, text, credit.TARGET, settings.folds)
@@ -249,3 +301,4 @@ if __name__ == "__main__":
     session = SparkSession.builder.appName("riskloom").getOrCreate()
     run(session, arguments[0], arguments[1],
         Settings.fast() if "--fast" in sys.argv else Settings())
+    drop_written(session)

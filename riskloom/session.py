@@ -8,7 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[str] = []
+# Folders to delete at the end, by application.
+_written: dict[str, list[str]] = {}
 
 
 def local_session(cores: str | int = 8, app: str = "riskloom") -> SparkSession:
@@ -28,8 +29,11 @@ def local_session(cores: str | int = 8, app: str = "riskloom") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder named by ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    Without either, a temporary folder in local mode only.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -40,15 +44,21 @@ def shared_folder(spark: SparkSession) -> str:
     return known
 
 
+def _to_delete(spark: SparkSession) -> list[str]:
+    return _written.setdefault(spark.sparkContext.applicationId, [])
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 
     Used where two branches of a plan must see the very same rows in the very same layout, or
     where a small aggregate is read several times.
     """
-    context = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+        context.setCheckpointDir(shared_folder(spark))
+        _to_delete(spark).append(context.getCheckpointDir())
     return df.checkpoint(eager=True)
 
 
@@ -59,15 +69,19 @@ def write_out(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/riskloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    _to_delete(df.sparkSession).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def drop_written(spark: SparkSession) -> None:
-    """Delete the tables ``write_out`` made, once no result that reads them is needed any more."""
+    """Delete the tables and checkpoints made for this application.
+
+    For the end of a job: results that still read them are lost.
+    """
     context = spark.sparkContext
-    while _written:
-        path = context._jvm.org.apache.hadoop.fs.Path(_written.pop())
+    own = _to_delete(spark)
+    while own:
+        path = context._jvm.org.apache.hadoop.fs.Path(own.pop())
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 

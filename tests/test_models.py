@@ -130,12 +130,16 @@ def test_whole_run_from_files_to_scores(spark, tmp_path):
             df.write.parquet(f"{data}/{name}.parquet")
     settings = run.Settings(
         folds=2, rounds=2, neighbours=(5, 10_000), child_models=("bureau",), tag="test",
-        search={"forest": {"maxDepth": [2, 3]}},
+        search={"forest": {"maxDepth": [2, 3]}}, search_share=0.5, fold_safe_neighbours=True,
+        gate_drift=True, ridge_alphas=(1.0, 10.0),
     )
     result = run.run(spark, data, out, settings)
     scores = result.scores.collect()
     assert len(scores) == application.filter(test).count()
     assert all(0 <= r["score"] <= 1.5 for r in scores)
+    assert {"stacked_ridge_1", "stacked_ridge_rank_10"} <= {
+        r["name"] for r in result.aucs.collect()
+    }
     files = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("submission_")]
     assert len(files) == 1 and files[0].name.endswith("_test")
     written = spark.read.option("header", True).csv(str(files[0]))
