@@ -14,8 +14,9 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions import aggregates, expressions
 from riskloom.functions.expressions import guarded_ratio, narrowed
-from riskloom.operators import clean, folds
+from riskloom.operators import aggregate, clean, folds, ordered
 from riskloom.operators import models as M
 from riskloom.operators.encode import encode_per_fold
 from riskloom.operators.joins import with_group_key
@@ -177,7 +178,7 @@ def add_neighbours(
 
 def _fingerprint(settings: Settings) -> dict[str, object]:
     return {"seed": settings.seed, "sample": settings.sample, "rounds": settings.rounds,
-            "folds": settings.folds}
+            "folds": settings.folds, "code": S.code_digest(M, clean, folds, aggregate)}
 
 
 def build_features(
@@ -190,11 +191,12 @@ def build_features(
     cap = clean.fit_cap(train, "OWN_CAR_AGE") if "OWN_CAR_AGE" in train.columns else None
     train, test = (credit.clean_application(t, cap) for t in (train, test))
     children = {}
+    code = S.code_digest(credit, aggregate, ordered, aggregates, expressions)
     for name, (build, reads) in credit.CHILDREN.items():
         inputs = [tables[t] for t in reads]
         children[name] = S.staged(
             lambda build=build, inputs=inputs: narrowed(build(*inputs)),
-            stage_root, name, {"seed": settings.seed}, inputs,
+            stage_root, name, {"seed": settings.seed, "code": code}, inputs,
         )
     metas = child_metas(tables, settings.child_models, stage_root, settings)
     on_train, on_test = reconstructions(tables, settings) if settings.reconstruct else ([], [])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import inspect
 import json
 import logging
 from collections.abc import Callable, Mapping, Sequence
@@ -37,6 +38,12 @@ def csv_to_parquet(
     return spark.read.parquet(parquet_path)
 
 
+def code_digest(*modules) -> str:
+    """A digest of the modules' source: a stage that names it is built anew after a change."""
+    text = "".join(inspect.getsource(m) for m in modules)
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
 def stage_key(
     name: str, params: Mapping[str, object], inputs: Sequence[DataFrame] = ()
 ) -> str:

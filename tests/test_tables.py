@@ -142,3 +142,18 @@ def test_scores_are_written_as_floats(spark, tmp_path):
     S.write_scores(spark.createDataFrame([(1, 0.1)], "id int, p double"), "id", "p", path)
     back = spark.read.option("header", True).csv(path).first()
     assert back["id"] == "1" and back["TARGET"] == pytest.approx("0.1") and len(back) == 2
+
+
+def test_stage_keys_follow_the_code(tmp_path):
+    import importlib.util
+
+    digests = []
+    for body in ("x = 1\n", "x = 2\n"):
+        path = tmp_path / f"m{len(digests)}.py"
+        path.write_text(body)
+        spec = importlib.util.spec_from_file_location(path.stem, path)
+        module = importlib.util.module_from_spec(spec)
+        spec.loader.exec_module(module)
+        digests.append(S.code_digest(module))
+    assert digests[0] != digests[1]
+    assert S.stage_key("s", {"code": digests[0]}) != S.stage_key("s", {"code": digests[1]})
