@@ -375,3 +375,59 @@ def credit_features(spark, sf):
     wide = wide.withColumns({c: F.round(c, 6) for c in last})
     shown = [*CLEAN_NUMBERS, *_ratios("a"), *CROSS, "NAN_COUNT", *last]
     return _comparable(wide.select(KEY, "CODE_GENDER", "OCCUPATION_TYPE", *shown), 4)
+
+
+@query(
+    "credit_proposed",
+    f"""
+    WITH prev AS (
+      SELECT SK_ID_CURR,
+             {", ".join(
+                 f"coalesce(sum(CAST(NAME_CONTRACT_STATUS = '{s}' AS INT)), 0) AS {c}"
+                 for s, c in credit.OUTCOMES.items())}
+      FROM ({TABLES["previous_application"]}) WHERE DAYS_DECISION >= -730 GROUP BY 1
+    ), debt AS (
+      SELECT SK_ID_CURR,
+             coalesce(sum(AMT_CREDIT_SUM) FILTER (DAYS_CREDIT >= -365), 0) AS now,
+             coalesce(sum(AMT_CREDIT_SUM)
+               FILTER (DAYS_CREDIT < -365 AND DAYS_CREDIT >= -1095), 0) AS past
+      FROM ({TABLES["bureau"]}) GROUP BY 1
+    ), card AS (
+      SELECT SK_ID_CURR, sum(u * w) / sum(CASE WHEN u IS NOT NULL THEN w END) AS used
+      FROM (SELECT SK_ID_CURR, AMT_BALANCE / (AMT_CREDIT_LIMIT_ACTUAL + 1e-8) AS u,
+                   exp(abs(MONTHS_BALANCE) * -0.01) AS w
+            FROM ({TABLES["credit_card_balance"]})
+            WHERE AMT_CREDIT_LIMIT_ACTUAL > 0 AND MONTHS_BALANCE >= -12) GROUP BY 1
+    ), paid AS (
+      SELECT SK_ID_CURR, avg(m) AS deficit
+      FROM (SELECT SK_ID_CURR, SK_ID_PREV, avg(AMT_PAYMENT - AMT_INSTALMENT) AS m
+            FROM ({TABLES["installments_payments"]}) WHERE DAYS_INSTALMENT > -1000 GROUP BY 1, 2)
+      GROUP BY 1
+    )
+    SELECT SK_ID_CURR, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in credit.OUTCOMES.values())},
+           round(now / (past / 2 + 1e-8) / CASE WHEN past > 0 THEN 1 ELSE 1e8 END, 4)
+             AS BUREAU_DEBT_ACCELERATION,
+           round(used, 6) AS CC_UTIL_WEIGHTED_12M, round(deficit, 4) AS INST_DEFICIT_MEAN
+    FROM ({TABLES["application"]}) LEFT JOIN prev USING (SK_ID_CURR)
+    LEFT JOIN debt USING (SK_ID_CURR) LEFT JOIN card USING (SK_ID_CURR)
+    LEFT JOIN paid USING (SK_ID_CURR)
+    """,
+)
+def credit_proposed(spark, sf):
+    t = credit_tables(spark, sf)
+    rows = credit.G.left_onto(
+        t["application"].select(KEY), *credit.proposed_features(t), on=KEY
+    )
+    days, amount = F.col("DAYS_CREDIT"), F.col("AMT_CREDIT_SUM")
+    past = t["bureau"].groupBy(KEY).agg(
+        F.sum(F.when((days < -365) & (days >= -1095), amount)).alias("past")
+    )
+    scale = F.when(F.col("past") > 0, 1.0).otherwise(1e8)
+    rows = rows.join(past, KEY, "left")
+    return rows.select(
+        KEY,
+        *[F.col(c).cast("double").alias(c) for c in credit.OUTCOMES.values()],
+        F.round(F.col("BUREAU_DEBT_ACCELERATION") / scale, 4).alias("BUREAU_DEBT_ACCELERATION"),
+        F.round("CC_UTIL_WEIGHTED_12M", 6).alias("CC_UTIL_WEIGHTED_12M"),
+        F.round("INST_DEFICIT_MEAN", 4).alias("INST_DEFICIT_MEAN"),
+    )

@@ -386,6 +386,47 @@ def child_features(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     return {n: build(*[tables[t] for t in reads]) for n, (build, reads) in CHILDREN.items()}
 
 
+# Previous-application outcomes that get a count of their own.
+OUTCOMES = {
+    "Approved": "PREV_Approved_CNT_2Y",
+    "Refused": "PREV_Refused_CNT_2Y",
+    "Canceled": "PREV_Canceled_CNT_2Y",
+    "Unused offer": "PREV_Unused_offer_CNT_2Y",
+}
+
+
+def proposed_features(tables: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Further columns per applicant: outcomes of two years, debt acceleration, decayed use of the
+    card's limit, and the mean over loans of the mean payment deficit."""
+    days = _c("DAYS_CREDIT")
+    now = F.coalesce(A.total(_c("AMT_CREDIT_SUM"), days >= -365), F.lit(0))
+    then = F.coalesce(
+        A.total(_c("AMT_CREDIT_SUM"), (days < -365) & (days >= -1095)), F.lit(0)
+    )
+    months = _c("MONTHS_BALANCE")
+    card = tables["credit_card_balance"].filter(_c("AMT_CREDIT_LIMIT_ACTUAL") > 0)
+    used = X.guarded_ratio(_c("AMT_BALANCE"), _c("AMT_CREDIT_LIMIT_ACTUAL"), EPS)
+    paid = tables["installments_payments"].filter(_c("DAYS_INSTALMENT") > -1000)
+    return [
+        G.status_pivot(
+            tables["previous_application"], APPLICANT, "NAME_CONTRACT_STATUS", OUTCOMES,
+            _c("DAYS_DECISION") >= -730,
+        ),
+        G.to_parent(
+            tables["bureau"], APPLICANT,
+            {"BUREAU_DEBT_ACCELERATION": X.guarded_ratio(now, then / 2, EPS)},
+        ),
+        G.to_parent(
+            card, APPLICANT,
+            {"CC_UTIL_WEIGHTED_12M": G.weighted_mean(
+                used, X.decayed(F.lit(1.0), months), months >= -12)},
+        ),
+        G.mean_of_means(
+            paid, LOAN, APPLICANT, _c("AMT_PAYMENT") - _c("AMT_INSTALMENT"), "INST_DEFICIT_MEAN"
+        ),
+    ]
+
+
 def full_features(
     application: DataFrame, children: Mapping[str, DataFrame], metas: Sequence[DataFrame] = ()
 ) -> DataFrame:

@@ -65,6 +65,7 @@ class Settings:
     search_share: float = 1.0
     fold_safe_neighbours: bool = False
     gate_drift: bool = False
+    proposed: bool = False
     ridge_alphas: Sequence[float] = ()
     tag: str = "full"
 
@@ -199,6 +200,8 @@ def build_features(
             stage_root, name, {"seed": settings.seed, "code": code}, inputs,
         )
     metas = child_metas(tables, settings.child_models, stage_root, settings)
+    if settings.proposed:
+        metas += credit.proposed_features(tables)
     on_train, on_test = reconstructions(tables, settings) if settings.reconstruct else ([], [])
     return (
         credit.full_features(train, children, [*metas, *on_train]),

@@ -131,7 +131,7 @@ def test_whole_run_from_files_to_scores(spark, tmp_path):
     settings = run.Settings(
         folds=2, rounds=2, neighbours=(5, 10_000), child_models=("bureau",), tag="test",
         search={"forest": {"maxDepth": [2, 3]}}, search_share=0.5, fold_safe_neighbours=True,
-        gate_drift=True, ridge_alphas=(1.0, 10.0),
+        gate_drift=True, proposed=True, ridge_alphas=(1.0, 10.0),
     )
     result = run.run(spark, data, out, settings)
     scores = result.scores.collect()
