@@ -15,6 +15,7 @@ from riskloom.operators.joins import attach
 
 DIGITS = 12
 CELLS = 4096
+CELL_ROWS = 10_000
 
 
 def hash_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame:
@@ -22,8 +23,14 @@ def hash_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42) -> DataFrame
     return df.withColumn("fold", (hash_fraction(F.col(key), seed) % k).cast("int"))
 
 
-def _places(df: DataFrame, key: str, strata: str, seed: int, cells: int) -> DataFrame:
-    """Add the 0-based place of a row in its stratum and the size of the stratum."""
+def _places(
+    df: DataFrame, key: str, strata: str, seed: int, cells: int | None
+) -> DataFrame:
+    """Add the 0-based place of a row in its stratum and the size of the stratum.
+
+    ``cells`` only decides how many tasks share the work; by default it follows the row count.
+    """
+    cells = cells or max(CELLS, df.count() // CELL_ROWS)
     hashed = df.withColumn("_h", hash_fraction(F.col(key), seed, DIGITS)).withColumn(
         "_cell", F.floor(F.col("_h") * cells / 16**DIGITS).cast("int")
     )
@@ -48,18 +55,15 @@ def _places(df: DataFrame, key: str, strata: str, seed: int, cells: int) -> Data
 
 
 def stratified_folds(
-    df: DataFrame, key: str, strata: str, k: int = 5, seed: int = 42, cells: int = CELLS
+    df: DataFrame, key: str, strata: str, k: int = 5, seed: int = 42, cells: int | None = None
 ) -> DataFrame:
-    """Add ``fold``: per stratum, fold sizes differ by at most one. ``key`` is unique.
-
-    Raise ``cells`` with the data so that one cell of one stratum stays a small task.
-    """
+    """Add ``fold``: per stratum, fold sizes differ by at most one. ``key`` is unique."""
     placed = _places(df, key, strata, seed, cells)
     return placed.withColumn("fold", (F.col("_place") % k).cast("int")).drop("_place", "_size")
 
 
 def group_folds(
-    df: DataFrame, group: str, strata: str, k: int = 5, seed: int = 42, cells: int = CELLS
+    df: DataFrame, group: str, strata: str, k: int = 5, seed: int = 42, cells: int | None = None
 ) -> DataFrame:
     """Add ``fold`` at group grain: all rows of a group share it.
 
@@ -71,7 +75,7 @@ def group_folds(
 
 
 def stratified_sample(
-    df: DataFrame, key: str, strata: str, frac: float, seed: int = 42, cells: int = CELLS
+    df: DataFrame, key: str, strata: str, frac: float, seed: int = 42, cells: int | None = None
 ) -> DataFrame:
     """The first ``round(frac * size)`` rows of every stratum in hash order."""
     placed = _places(df, key, strata, seed, cells)
