@@ -92,7 +92,7 @@ def _summed(columns: list[np.ndarray], counts: list[np.ndarray]):
     """Distinct n-grams with their hash (sorted) and summed counts."""
     context = columns[0] if len(columns) > 1 else np.zeros(len(columns[0]), U)
     grams = _gram(context, columns[-1])
-    order = np.argsort(grams, kind="stable")
+    order = np.argsort(grams)
     grams = grams[order]
     starts = np.flatnonzero(np.append(True, grams[1:] != grams[:-1])[: len(grams)])
     first = order[starts]
@@ -117,8 +117,32 @@ def _unpack(blobs: list[bytes], n: int) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*parts)]
 
 
+def _among(values: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Whether each value is one of the sorted ``held``."""
+    if not len(held):
+        return np.zeros(len(values), bool)
+    return held[np.minimum(np.searchsorted(held, values), len(held) - 1)] == values
+
+
+def _representatives(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of values that stand for all, and for each value which of them.
+
+    Sorted by the leading bits with the place in the trailing ones; a value may be stood for more
+    than once where others share its leading bits.
+    """
+    bits = U(max(1, int(len(values) - 1).bit_length()))
+    low = (U(1) << bits) - U(1)
+    order = np.sort((values & ~low) | np.arange(len(values), dtype=U))
+    order = (order & low).astype(np.int64)
+    ranked = values[order]
+    new = np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)]
+    back = np.empty(len(values), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return order[new], back
+
+
 def _shard_of(context: np.ndarray, grams: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
-    key = np.where(np.isin(context, hot), grams, _mix(context)) if len(hot) else _mix(context)
+    key = np.where(_among(context, hot), grams, _mix(context)) if len(hot) else _mix(context)
     return (key % U(shards)).astype(np.int64)
 
 
@@ -189,14 +213,14 @@ def _written(folder: _Folder, order: int, shard: int, columns, grams, adjusted,
         ("stat", shard, order * 10 + 5, len(grams), int(adjusted.sum()), int(counts.sum()), 0, None)
     ]
     if order > 1:
-        by = np.argsort(columns[0], kind="stable")
+        by = np.argsort(columns[0])
         context, n = columns[0][by], adjusted[by]
         starts = np.flatnonzero(np.append(True, context[1:] != context[:-1])[: len(context)])
         sums = [
             np.add.reduceat(x.astype(np.int64), starts) for x in (n, n == 1, n == 2, n >= 3)
         ]
         context = context[starts]
-        own = ~np.isin(context, hot)
+        own = ~_among(context, hot)
         folder.save(f"{order}-{shard}-context", context[own])
         folder.save(f"{order}-{shard}-sums", np.stack([x[own] for x in sums], 1).astype(np.uint32))
         for i in np.flatnonzero(~own):
@@ -382,7 +406,9 @@ class Scorer:
     def _find(self, k: int, what: str, shard: np.ndarray, keys: np.ndarray):
         """Per key its place in its shard's sorted array, -1 where it is missing."""
         place = np.full(len(keys), -1)
-        order = np.lexsort((keys, shard))
+        order = np.argsort(keys)
+        small = np.uint16 if self.model.shards <= 1 << 16 else np.uint32
+        order = order[np.argsort(shard[order].astype(small), kind="stable")]
         ends = np.flatnonzero(np.append(shard[order][1:] != shard[order][:-1], True))
         start = 0
         for end in ends + 1 if len(order) else []:
@@ -451,7 +477,7 @@ class Scorer:
             columns = _columns(line, at[part], m.order)
             none = np.zeros(len(columns[0]), U)
             grams = _gram(columns[0] if m.order > 1 else none, columns[-1])
-            _, first, back = np.unique(grams, return_index=True, return_inverse=True)
+            first, back = _representatives(grams)
             p, counts = self.probabilities([c[first] for c in columns])
             base = (counts + 0.1) / (m.tokens + 0.1 * (m.types + 1))
             for i, x in enumerate((counts > 0, np.log10(p), np.log10(base))):
