@@ -25,7 +25,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import signed, slices, utf8
@@ -58,19 +58,22 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, fp`` per document row; null and empty texts have fingerprint zero."""
+    """``doc_id, text_hash, fp`` per document row; null and empty texts have fingerprint zero."""
 
     def stage(batches):
         for batch in slices(batches):
-            made = np.array([fingerprint(t) for t in utf8(batch.column(1))], np.uint64)
+            made = np.array([fingerprint(t) for t in utf8(batch.column(2))], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), signed(made)], names=["doc_id", "fp"]
+                [batch.column(0), batch.column(1), signed(made)],
+                names=["doc_id", "text_hash", "fp"],
             )
 
     chosen = documents.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.col(text).alias("text"),
     )
-    return chosen.mapInArrow(stage, "doc_id long, fp long")
+    return chosen.mapInArrow(stage, "doc_id long, text_hash long, fp long")
 
 
 def _unsigned(column: pa.Array) -> np.ndarray:
@@ -360,6 +363,14 @@ def _state(pairs: DataFrame) -> tuple:
     return tuple(pairs.agg(F.count("*"), *marks).first())
 
 
+def _grouped(prints: DataFrame, radius: int, long_file: int) -> DataFrame:
+    """``fp, root``: the component of each fingerprint in ``prints``."""
+    distinct = write_out(prints.select("fp").distinct())
+    nodes = components(links(distinct, radius, long_file))
+    found = distinct.join(nodes, distinct["fp"] == nodes["node"], "left")
+    return write_out(found.select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(
     documents: DataFrame,
     doc_id: str = "doc_id",
@@ -375,29 +386,30 @@ def near_duplicates(
     empty table stays empty; other columns are ignored.
     """
     prints = write_out(fingerprints(documents, doc_id, text))
-    distinct = write_out(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    nodes = components(links(distinct, radius, long_file))
-    known = distinct.join(nodes, distinct["fp"] == nodes["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    heads = known.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = write_out(known.join(heads, "root").select("fp", "component_id"))
+    roots = _grouped(prints, radius, long_file)
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, "fp")
+    heads = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = write_out(roots.join(heads, "root").select("fp", "component_id"))
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
     """One row of each component: that of the least doc_id (null last), of equal ids any one."""
-    row = "_row"
-    numbered = write_out(documents.withColumn(row, F.monotonically_increasing_id()))
-    found = near_duplicates(numbered, row).withColumnRenamed("doc_id", row)
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
-    keep = (
-        found.join(numbered.select(row, "doc_id"), row)
-        .groupBy("component_id")
-        .agg(F.min(first).alias("first"))
-        .select(F.col(f"first.{row}").alias(row))
+    prints = write_out(fingerprints(documents))
+    first = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash")
+    each = prints.groupBy("fp").agg(F.min(first).alias("first"))
+    roots = _grouped(prints, RADIUS, LONG_FILE)
+    heads = each.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    id_, hash_ = F.coalesce("doc_id", F.lit(0)).cast("long"), F.xxhash64("text")
+    key = {"_none": F.col("doc_id").isNull(), "_id": id_, "_hash": hash_}
+    keep = heads.select("first.*").select(
+        "_none", id_.alias("_id"), F.col("text_hash").alias("_hash")
+    )
+    kept = documents.withColumns(key).join(keep, list(key), "left_semi")
+    one = Window.partitionBy(*key).orderBy("_hash")
+    return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(
+        *documents.columns
     )
-    return numbered.join(keep, row, "left_semi").select(*documents.columns)
 
 
 def op5_simhash(spark, sf_dir: str) -> DataFrame:
