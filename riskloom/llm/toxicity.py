@@ -34,7 +34,7 @@ LEAST_GAIN = 10.0  # log-likelihood that a feature must explain, against chance
 STEPS = 40
 STARTS = (3, 4, 5)
 CACHED = 300_000
-_SENTENCE = re.compile(r"[^.!?\n]+")
+_SENTENCE, _ENDS = re.compile(r"[^.!?\n]+"), re.compile(r"[.!?\n]+")
 _EDGES = ".,;:!?()[]{}\"'*#-_/\\|<>&%$"
 RESULT = (
     T.StructType()
@@ -64,31 +64,43 @@ def _features_of(text: str | None) -> set[int]:
 
 
 class _Selected:
-    """Places of the selected features of a word, remembered for the words seen last."""
+    """Places of the selected features of words; words without any are remembered as such."""
 
     def __init__(self, places: dict[int, int]):
-        self.places, self.cache = places, {}
-
-    def __call__(self, word: str) -> tuple[int, ...]:
-        found = self.cache.get(word)
-        if found is None:
-            if len(self.cache) > CACHED:
-                self.cache.clear()
-            found = tuple(self.places[f] for f in word_features(word) if f in self.places)
-            self.cache[word] = found
-        return found
+        self.places, self.held, self.blank = places, {}, set()
+
+    def __call__(self, words: set[str]) -> dict[str, tuple[int, ...]]:
+        """The words that have selected features, and these."""
+        out = {}
+        for word in words - self.blank:
+            found = self.held.get(word)
+            if found is None:
+                found = tuple(self.places[f] for f in word_features(word) if f in self.places)
+                if found:
+                    self.held[word] = found
+                else:
+                    self.blank.add(word)
+            if found:
+                out[word] = found
+        if len(self.blank) > CACHED or len(self.held) > CACHED:
+            self.blank.clear()
+            self.held.clear()
+        return out
 
     def sentences(self, text: str | None):
         """Number of sentences; start, end and features of those that hold any."""
+        text = text or ""
+        whole = text.replace(".", " ").replace("!", " ").replace("?", " ")
+        words = self(set(whole.split()))
+        if not words:
+            return sum(map(bool, map(str.strip, _ENDS.split(text)))), []
         n, out = 0, []
-        for m in _SENTENCE.finditer(text or ""):
-            words = m[0].split()
-            if not words:
-                continue
-            n += 1
-            held = {i for w in words for i in self(w)}
-            if held:
-                out.append((m.start(), m.end(), sorted(held)))
+        for m in _SENTENCE.finditer(text):
+            own = m[0].split()
+            n += bool(own)
+            own = words.keys() & own
+            if own:
+                out.append((m.start(), m.end(), sorted({i for w in own for i in words[w]})))
         return n, out
 
 
@@ -96,10 +108,10 @@ def _counted(rows: DataFrame, only=None) -> DataFrame:
     """Documents that hold each feature, toxic or not; ``only`` limits to a set of features."""
 
     def stage(batches):
-        for batch in slices(batches, 2048):
+        for batch in slices(batches, 512):
             sums: dict[int, int] = {}
-            for text in batch.column(0).to_pylist():
-                held = _features_of(text)
+            for text in batch.column(0):
+                held = _features_of(text.as_py())
                 for f in held if only is None else held & only.value:
                     sums[f] = sums.get(f, 0) + 1
             yield pa.RecordBatch.from_arrays(
