@@ -400,6 +400,11 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
     each = prints.groupBy("fp").agg(F.min(first).alias("first"))
     roots = _grouped(prints, RADIUS, LONG_FILE)
     heads = each.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first"))
+    return first_rows(documents, heads)
+
+
+def first_rows(documents: DataFrame, heads: DataFrame) -> DataFrame:
+    """One row of ``documents`` for each ``first`` (_none, doc_id, text_hash) of ``heads``."""
     id_, hash_ = F.coalesce("doc_id", F.lit(0)).cast("long"), F.xxhash64("text")
     key = {"_none": F.col("doc_id").isNull(), "_id": id_, "_hash": hash_}
     keep = heads.select("first.*").select(
