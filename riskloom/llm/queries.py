@@ -8,6 +8,7 @@ from riskloom.llm import (
     html_text,
     line_dedup,
     lm_score,
+    periodic_runs,
     preference,
     quality,
     simhash,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_lm_score": lm_score.op9_lm_score,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLES = {
     "op6_preference": preference.OP6_SQL,
