@@ -12,6 +12,7 @@ from riskloom.llm import (
     preference,
     quality,
     simhash,
+    source_audit,
     syncmers,
     toxicity,
 )
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_lm_score": lm_score.op9_lm_score,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op12_source_audit": source_audit.op12_source_audit,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op7_curriculum": curriculum.OP7_SQL,
     "op8_decontaminate": decontaminate.OP8_SQL,
     "op10_line_dedup": line_dedup.OP10_SQL,
+    "op12_source_audit": source_audit.OP12_SQL,
 }
