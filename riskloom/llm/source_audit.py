@@ -55,13 +55,15 @@ def word_pointers(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return first, np.flatnonzero(ends) - first + 1
 
 
-def equal_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    """Word numbers by equal word, in text order inside a run.
+def equal_runs(
+    data: np.ndarray, starts: np.ndarray, lengths: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Word numbers by equal word, in text order inside a run, and the sizes of the runs.
 
     ``data`` must have eight more bytes after its last word.
     """
     windows = np.ndarray((max(len(data) - 7, 0),), ">u8", data, 0, (1,))
-    done: list[np.ndarray] = []
+    done: list[tuple[np.ndarray, np.ndarray]] = []
 
     def keys(words: np.ndarray, depth: int) -> np.ndarray:
         left = lengths[words] - 8 * depth
@@ -70,40 +72,48 @@ def equal_runs(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> lis
         found = windows[at].astype(np.uint64) >> cut << cut
         return np.where(left > 0, found, np.uint64(0))
 
-    slices, depth = [np.arange(len(starts))], 0
-    while slices:
-        deeper: list[np.ndarray] = []
-        small: list[tuple[np.ndarray, np.ndarray]] = []
-        stack = [(words, keys(words, depth)) for words in slices if len(words) > SMALL]
-        rest = [words for words in slices if len(words) <= SMALL]
-        if rest:
-            # Keys of all small slices at once; their borders are kept by slice number below.
-            cuts = np.cumsum([len(words) for words in rest])[:-1]
-            small += list(zip(rest, np.split(keys(np.concatenate(rest), depth), cuts)))
+    # The slices of a depth, end to end, and their sizes.
+    words, sizes, depth = np.arange(len(starts)), np.array([len(starts)]), 0
+    while len(words):
+        key = keys(words, depth)
+        deeper: list[tuple[np.ndarray, np.ndarray]] = []
+        # A slice that is large goes on the stack; numbers part the small ones when sorted at once.
+        large = sizes > SMALL
+        part = np.repeat(large, sizes)
+        small = [(words[~part], key[~part], sizes[~large])]
+        ends = np.cumsum(sizes)
+        stack = [
+            (words[end - size : end], key[end - size : end])
+            for end, size in zip(ends[large].tolist(), sizes[large].tolist())
+        ]
         while stack:
-            words, key = stack.pop()
+            here, key = stack.pop()
             sample = np.sort(key[:: max(1, len(key) // 255)])
             pivot = sample[len(sample) // 2]
-            equal = key == pivot
-            (deeper if int(pivot) & 255 else done).append(words[equal])
+            equal = here[key == pivot]
+            (deeper if int(pivot) & 255 else done).append((equal, np.array([len(equal)])))
             for side in (key < pivot, key > pivot):
-                if side.any():
-                    part = (words[side], key[side])
-                    (stack if len(part[0]) > SMALL else small).append(part)
-        if small:
-            words = np.concatenate([w for w, _ in small])
-            key = np.concatenate([k for _, k in small])
-            number = np.repeat(np.arange(len(small)), [len(w) for w, _ in small])
+                found = (here[side], key[side])
+                if len(found[0]) > SMALL:
+                    stack.append(found)
+                elif len(found[0]):
+                    small.append((*found, np.array([len(found[0])])))
+        words, key, sizes = [np.concatenate(x) for x in zip(*small)]
+        if len(words):
+            number = np.repeat(np.arange(len(sizes)), sizes)
             by = np.lexsort((key, number))
             words, key, number = words[by], key[by], number[by]
-            changes = np.flatnonzero((key[1:] != key[:-1]) | (number[1:] != number[:-1])) + 1
-            begins = np.append(0, changes)
-            open_end = (key[begins] & np.uint64(255)) != 0
-            alone = np.diff(np.append(begins, len(words))) == 1
-            for run, more in zip(np.split(words, changes), (open_end & ~alone).tolist()):
-                (deeper if more else done).append(run)
-        slices, depth = deeper, depth + 1
-    return done
+            changed = (key[1:] != key[:-1]) | (number[1:] != number[:-1])
+            begins = np.flatnonzero(np.append(True, changed))
+            sizes = np.diff(np.append(begins, len(words)))
+            # Words that go on after equal bytes, unless there is one word only.
+            more = ((key[begins] & np.uint64(255)) != 0) & (sizes > 1)
+            whole = np.repeat(more, sizes)
+            done.append((words[~whole], sizes[~more]))
+            deeper.append((words[whole], sizes[more]))
+        words, sizes = [np.concatenate(x) for x in zip(*deeper)] if deeper else (words[:0], sizes[:0])
+        depth += 1
+    return np.concatenate([w for w, _ in done]), np.concatenate([n for _, n in done])
 
 
 def _texts_of(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
@@ -116,10 +126,13 @@ def _texts_of(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.A
     ).cast(pa.string())
 
 
-def shard_counts(texts: pa.Array, groups: np.ndarray) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
+def shard_counts(
+    texts: pa.Array, groups: np.ndarray
+) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]:
     """Per group number and word of a shard: group, word, occurrences, documents."""
     texts = texts.cast(pa.large_string())
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    until = texts.offset + len(texts) + 1
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : until]
     held = texts.buffers()[2]
     raw = np.frombuffer(held, np.uint8) if held else np.zeros(0, np.uint8)
     data = np.zeros(int(offsets[-1] - offsets[0]) + 8, np.uint8)
@@ -128,9 +141,8 @@ def shard_counts(texts: pa.Array, groups: np.ndarray) -> tuple[np.ndarray, pa.Ar
     starts, lengths = word_pointers(data[:-8], offsets)
     if not len(starts):
         return np.zeros(0, int), pa.array([], pa.string()), np.zeros(0, int), np.zeros(0, int)
-    runs = equal_runs(data, starts, lengths)
-    words = np.concatenate(runs)
-    run = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
+    words, sizes = equal_runs(data, starts, lengths)
+    run = np.repeat(np.arange(len(sizes)), sizes)
     doc = np.searchsorted(offsets, starts[words], side="right") - 1
     first = np.ones(len(words), np.int64)
     first[1:] = (run[1:] != run[:-1]) | (doc[1:] != doc[:-1])
@@ -139,7 +151,7 @@ def shard_counts(texts: pa.Array, groups: np.ndarray) -> tuple[np.ndarray, pa.Ar
     by = np.argsort(cell, kind="stable")
     cell = cell[by]
     begins = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
-    heads = np.array([r[0] for r in runs])
+    heads = words[np.cumsum(sizes) - sizes]
     names = _texts_of(data, starts[heads], lengths[heads])
     return (
         cell[begins] % wide,
