@@ -6,6 +6,7 @@ from riskloom.llm import (
     curriculum,
     decontaminate,
     html_text,
+    kmeans_tree,
     line_dedup,
     lm_score,
     periodic_runs,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_lm_score": lm_score.op9_lm_score,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_kmeans_tree": kmeans_tree.op11_kmeans_tree,
     "op12_source_audit": source_audit.op12_source_audit,
     "op13_periodic_runs": periodic_runs.op13_periodic_runs,
 }
