@@ -63,7 +63,7 @@ def knn_target_mean(
     most = max(ks) + (1 if exclude == "self" else 0)
     place = ["vec", "fold"] if by_fold else ["vec"]
 
-    points = settle(_thin(refs, place, most))
+    points = settle(thinned(refs, place, most))
     tree = _Cuts(points, cell_points or max(CELL_POINTS, 4 * most))
     points = settle(points.withColumn("cell", tree.cell_of()))
     tree.measure(points, by_fold)
@@ -84,7 +84,7 @@ def knn_target_mean(
                   exclude == "self")
 
 
-def _thin(refs: DataFrame, place: list[str], most: int) -> DataFrame:
+def thinned(refs: DataFrame, place: list[str], most: int) -> DataFrame:
     """At most ``most`` smallest ids per place, in two steps so that no place is one big task."""
     salts = refs.count() // SALT_ROWS + 1
     salted = refs.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)))

@@ -13,9 +13,11 @@ from riskloom.operators import clean as C
 from riskloom.operators import encode as E
 from riskloom.operators import folds
 from riskloom.operators import models as M
+from riskloom.operators.lsh import lsh_recall, lsh_target_mean
 from riskloom.operators.neighbors import knn_target_mean, vector
 from riskloom.operators.ordered import auc_by_column, rank_normalize, roc_auc
 from riskloom.plans.registry import ORACLES, money, money_mean_sql, query, rounded, table
+from riskloom.session import settle
 
 SCORES = ["s1", "s2", "s3", "s4"]
 # Static blend weights.
@@ -601,3 +603,43 @@ def knn_leave_one_out(spark, sf):
         points, points.select("id", "vec"), KS, exclude="self", cell_points=64, chunk_cells=4
     )
     return out.select("id", *rounded(9, *[f"KNN_TARGET_MEAN_K{k}" for k in KS]))
+
+
+@query("knn_buckets_oof", _knn_sql(KNN_POINTS_SQL, "q.fold <> r.fold"))
+def knn_buckets_out_of_fold(spark, sf):
+    points = settle(_knn_points(spark, sf))
+    out = lsh_target_mean(
+        points, points.select("id", "vec", "fold"), KS, "fold", exact=True, bucket_points=32
+    )
+    return out.select("id", *rounded(9, *[f"KNN_TARGET_MEAN_K{k}" for k in KS]))
+
+
+@query("knn_buckets_loo", _knn_sql(KNN_POINTS_SQL, "q.id <> r.id"))
+def knn_buckets_leave_one_out(spark, sf):
+    points = settle(_knn_points(spark, sf))
+    out = lsh_target_mean(
+        points, points.select("id", "vec"), KS, "self", exact=True, bucket_points=32
+    )
+    return out.select("id", *rounded(9, *[f"KNN_TARGET_MEAN_K{k}" for k in KS]))
+
+
+@query(
+    "knn_lsh_recall",
+    """
+      WITH size AS (SELECT count(*) AS n FROM embeddings),
+           asked AS (SELECT vec_id FROM embeddings, size WHERE vec_id % (n // 100 + 1) = 0)
+      SELECT count(*) AS queries, CAST(count(*) * least(25, any_value(n) - 1) AS BIGINT) AS found,
+             TRUE AS recall_reached, TRUE AS distances_exact
+      FROM asked, size
+    """,
+)
+def knn_lsh_recall(spark, sf):
+    """At most 100 queries spread over the ids against all vectors, by buckets and by brute force."""
+    points = table(spark, sf, "embeddings").select(
+        F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec")
+    )
+    step = points.count() // 100 + 1
+    asked = points.filter(F.col("id") % step == 0)
+    return lsh_recall(points, asked, 25, bucket_points=16).select(
+        "queries", "found", (F.col("recall") >= 0.9).alias("recall_reached"), "distances_exact"
+    )

@@ -20,6 +20,7 @@ from riskloom.operators import aggregate, clean, folds, ordered
 from riskloom.operators import models as M
 from riskloom.operators.encode import encode_per_fold
 from riskloom.operators.joins import with_group_key
+from riskloom.operators.lsh import lsh_target_mean
 from riskloom.operators.neighbors import knn_target_mean, vector
 from riskloom.plans import credit
 from riskloom.plans.evaluation import Evaluation, default_learners, evaluate
@@ -50,6 +51,17 @@ CHILD_MODELS = {
 NEIGHBOURS = (100, 300, 500)
 
 
+def _by_buckets(exact: bool):
+    return lambda *args, **kwargs: lsh_target_mean(*args, exact=exact, **kwargs).drop("certain")
+
+
+#: Ways to find neighbours: exact in cells of limited size, whose tree grows with the points; exact
+#: in a constant number of buckets; approximate in such buckets, at a recall that was measured.
+SEARCHES = {
+    "cells": knn_target_mean, "buckets": _by_buckets(True), "approximate": _by_buckets(False)
+}
+
+
 @dataclass(frozen=True)
 class Settings:
     """What the two ways of running differ in; ``fast()`` is the short one."""
@@ -59,6 +71,7 @@ class Settings:
     rounds: int = 100
     sample: float = 1.0
     neighbours: Sequence[int] = NEIGHBOURS
+    neighbour_search: str = "cells"
     child_models: Sequence[str] = ()
     reconstruct: bool = False
     search: dict = field(default_factory=dict)
@@ -136,11 +149,16 @@ def reconstructions(
 
 
 def add_neighbours(
-    train: DataFrame, test: DataFrame, ks: Sequence[int], k: int = 0, seed: int = 42
+    train: DataFrame,
+    test: DataFrame,
+    ks: Sequence[int],
+    k: int = 0,
+    seed: int = 42,
+    search: str = "cells",
 ) -> tuple[DataFrame, DataFrame]:
     """Target means of the nearest applicants, each training row left out of its own mean.
 
-    With ``k`` folds, the ones the evaluation takes, a row sees no label of its own fold.
+    ``search`` is one of ``SEARCHES``. With ``k`` folds, the ones the evaluation takes, a row sees no label of its own fold.
     """
     key, ratio = credit.APPLICANT, "KNN_CREDIT_ANNUITY_RATIO"
     columns = [c for c in credit.EXT_SOURCES if c in train.columns]
@@ -169,8 +187,9 @@ def add_neighbours(
     train = train.drop("fold") if k else train
     most = refs.count() - 1
     usable = sorted({min(k, most) for k in ks if min(k, most) > 1})
-    own = knn_target_mean(refs, refs.select(*asked), usable, exclude="fold" if k else "self")
-    other = knn_target_mean(refs.select("id", "vec", "y"), points(test), usable)
+    mean = SEARCHES[search]
+    own = mean(refs, refs.select(*asked), usable, exclude="fold" if k else "self")
+    other = mean(refs.select("id", "vec", "y"), points(test), usable, exclude=None)
     return (
         train.join(own.withColumnRenamed("id", key), key, "left"),
         test.join(other.withColumnRenamed("id", key), key, "left"),
@@ -223,7 +242,9 @@ def run(
         train, test = gated(train, test, settings)
     if settings.neighbours:
         safe = settings.folds if settings.fold_safe_neighbours else 0
-        train, test = add_neighbours(train, test, settings.neighbours, safe, settings.seed)
+        train, test = add_neighbours(
+            train, test, settings.neighbours, safe, settings.seed, settings.neighbour_search
+        )
     learners = default_learners(settings.rounds)
     if settings.search:
         learners = tuned(train, settings, learners)
