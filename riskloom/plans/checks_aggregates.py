@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from riskloom.functions import aggregates as A
 from riskloom.functions import expressions as X
 from riskloom.operators import aggregate as G
+from riskloom.operators import sketches as S
 from riskloom.operators.joins import attach, only_members, with_group_key
-from riskloom.operators.ordered import ewm_last
+from riskloom.operators.ordered import ewm_last, rank_normalize
 from riskloom.plans.registry import (
     EVENTS_AS_OF,
     days_from,
@@ -20,6 +21,7 @@ from riskloom.plans.registry import (
     rounded,
     table,
 )
+from riskloom.session import settle
 
 ORDER_DAYS = days_sql("o_orderdate")
 SHIP_DAYS = days_sql("l_shipdate")
@@ -558,3 +560,47 @@ def residual_feature(spark, sf):
     )
     out = X.residual(rows, "o_totalprice", "PRED_PRICE", "price_residual")
     return out.select("o_orderkey", *rounded(6, "price_residual"))
+
+
+PROBS = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+@query(
+    "quantile_sketch",
+    f"""
+    SELECT event_type, p, count(value) AS n, TRUE AS within
+    FROM events, (SELECT CAST(unnest({PROBS}) AS DOUBLE) AS p) GROUP BY 1, 2
+    """,
+)
+def quantile_sketch(spark, sf):
+    """Sketches per kind and user, merged per kind; the true ranks of their quantiles."""
+    events = table(spark, sf, "events")
+    fine = S.quantile_sketches(events, "value", ["event_type", "user_id"])
+    found = S.quantiles(S.merged(fine, ["event_type"]), PROBS)
+    asked = found.select(
+        "event_type",
+        F.explode(
+            F.arrays_zip(F.array(*[F.lit(p) for p in PROBS]).alias("p"), F.col("quantiles").alias("v"))
+        ).alias("x"),
+    ).select("event_type", "x.p", "x.v")
+    below, until = (F.avg(c.cast("double")) for c in (F.col("value") < F.col("v"),
+                                                      F.col("value") <= F.col("v")))
+    # One row per kind and quantile.
+    return events.join(F.broadcast(settle(asked)), "event_type").groupBy("event_type", "p").agg(
+        F.count("value").alias("n"),
+        ((below - 2 * S.rank_error() <= F.col("p")) & (F.col("p") <= until + 2 * S.rank_error()))
+        .alias("within"),
+    )
+
+
+@query(
+    "sketched_ranks", "SELECT count(value) AS n, TRUE AS within FROM events"
+)
+def sketched_ranks(spark, sf):
+    """Percentile ranks read off a sketch against the exact ones."""
+    rows = table(spark, sf, "events").select("event_id", "value", F.col("value").alias("again"))
+    both = rank_normalize(S.rank_columns(rows, ["value"], "_near"), ["again"], "_exact")
+    off = F.abs(F.col("value_near") - F.col("again_exact"))
+    return both.agg(
+        F.count("value_near").alias("n"), (F.max(off) <= 2 * S.rank_error()).alias("within")
+    )

@@ -51,6 +51,7 @@ RECONSTRUCTION_FEATURES = [
     "CNT_FAM_MEMBERS",
     "CNT_CHILDREN",
 ]
+# Columns without importance, in their given order.
 PRUNED = [
     "FLAG_MOBIL",
     "FLAG_EMP_PHONE",
@@ -60,14 +61,21 @@ PRUNED = [
     "FLAG_DOCUMENT_2",
     "FLAG_DOCUMENT_4",
     "FLAG_DOCUMENT_5",
-    "FLAG_DOCUMENT_6",
     "FLAG_DOCUMENT_7",
-    *[f"FLAG_DOCUMENT_{i}" for i in range(9, 18)],
+    "FLAG_DOCUMENT_9",
+    "FLAG_DOCUMENT_10",
+    "FLAG_DOCUMENT_11",
+    "FLAG_DOCUMENT_12",
+    "FLAG_DOCUMENT_13",
+    "FLAG_DOCUMENT_14",
+    "FLAG_DOCUMENT_15",
+    "FLAG_DOCUMENT_16",
+    "FLAG_DOCUMENT_17",
     "FLAG_DOCUMENT_19",
     "FLAG_DOCUMENT_20",
-    "FLAG_DOCUMENT_21",
     "NAME_HOUSING_TYPE",
     "EMERGENCYSTATE_MODE",
+    "FLAG_DOCUMENT_21",
     "AMT_REQ_CREDIT_BUREAU_HOUR",
     "AMT_REQ_CREDIT_BUREAU_DAY",
     "DOCUMENT_COUNT",
@@ -81,6 +89,7 @@ PRUNED = [
     "BUREAU_BB_STATUS_5_COUNT_SUM",
     "BUREAU_PROLONG_SUM",
     "BUREAU_BB_SEVERE_STATUS_SUM",
+    "FLAG_DOCUMENT_6",
 ]
 
 
