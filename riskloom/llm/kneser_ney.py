@@ -8,7 +8,10 @@ of the next lower order. So every order is one shuffle of packed arrays, and no
 than a shard.
 
 Scoring. A worker maps the arrays into memory; what it does not touch is never read, and workers of
-one machine share the pages. The distinct n-grams of a few texts are looked up at a time.
+one machine share the pages. A shard of an order is one file, and a worker keeps a bounded number of
+files open; where the store cannot be mapped it keeps a bounded number of bytes. Every shard has a
+file, also an empty one, so a missing file is an error. The distinct n-grams of a few texts are
+looked up at a time.
 
 Words stand for themselves by a 48-bit hash, contexts and n-grams by a 64-bit hash. An unseen n-gram
 of a seen context passes the context's discounted mass down; below the unigrams lies a uniform
@@ -17,9 +20,12 @@ distribution over the training vocabulary and one unknown symbol, so probabiliti
 
 from __future__ import annotations
 
+import json
 import math
-import os
+import mmap
+import re
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,6 +47,8 @@ SHARD_SYMBOLS = 1_000_000
 HOT_SHARE = 0.001
 HOT_SAMPLE = 2_000
 LIMIT = 255  # counts from here on are kept apart
+OPEN_SHARDS = 256
+READ_BYTES = 256_000_000  # of shards that cannot be mapped
 U = np.uint64
 
 
@@ -169,42 +177,90 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cells, kinds)], names=names)
 
 
+def _qualified(spark, path: str) -> str:
+    """The path with the scheme that Spark's writers would use for it."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(path)
+    uri = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return uri.replace("file:/", "file:///", 1) if re.match("file:/(?!/)", uri) else uri
+
+
 class _Folder:
-    """Arrays below a folder that driver and executors share, by path or through pyarrow."""
+    """Shards below a folder that driver and executors share, a file each, with named arrays.
+
+    A file is its arrays one after the other, then an index of them, then the index's length.
+    """
 
     def __init__(self, uri: str):
-        self.fs, self.path = pyarrow.fs.FileSystem.from_uri(
-            uri if "://" in uri else "file://" + os.path.abspath(uri)
-        )
+        self.fs, self.path = pyarrow.fs.FileSystem.from_uri(uri)
         self.local = isinstance(self.fs, pyarrow.fs.LocalFileSystem)
 
-    def save(self, name: str, values: np.ndarray) -> None:
+    def save(self, name: str, arrays: dict[str, np.ndarray]) -> None:
         """Written beside its place and moved there, so that a task may run again."""
         self.fs.create_dir(self.path, recursive=True)
         aside = f"{self.path}/{name}.{uuid.uuid4().hex}"
+        index, at = {}, 0
         with self.fs.open_output_stream(aside) as out:
-            out.write(np.ascontiguousarray(values).tobytes())
+            for key, values in arrays.items():
+                index[key] = (at, values.dtype.str, values.shape)
+                at += out.write(np.ascontiguousarray(values).tobytes())
+                at += out.write(b"\0" * (-at % 8))
+            tail = json.dumps(index).encode()
+            out.write(tail + len(tail).to_bytes(8, "little"))
         self.fs.move(aside, f"{self.path}/{name}")
 
-    def load(self, name: str, kind) -> np.ndarray:
+    def load(self, name: str) -> tuple[dict[str, np.ndarray], int]:
+        """The arrays of a shard, mapped where the store allows it, and the bytes they occupy.
+
+        A shard that is not there is an error: empty shards have files too.
+        """
         path = f"{self.path}/{name}"
-        info = self.fs.get_file_info(path)
-        if info.type != pyarrow.fs.FileType.File or not info.size:
-            return np.zeros(0, kind)
         if self.local:
-            return np.memmap(path, kind, "r")
-        with self.fs.open_input_file(path) as source:  # a store that cannot be mapped
-            return np.frombuffer(source.read(), kind)
+            with open(path, "rb") as source:
+                held = mmap.mmap(source.fileno(), 0, access=mmap.ACCESS_READ)
+        else:
+            with self.fs.open_input_file(path) as source:
+                held = source.read()
+        size = len(held) - 8
+        tail = int.from_bytes(held[size:], "little")
+        arrays = {
+            key: np.frombuffer(held, kind, math.prod(shape), at).reshape(shape)
+            for key, (at, kind, shape) in json.loads(held[size - tail : size]).items()
+        }
+        return arrays, 0 if self.local else len(held)
+
+
+def _arrays(order: int, columns, grams, adjusted, counts, hot):
+    """The arrays of a shard of one order, and sums of its contexts that are kept with the model."""
+    large = adjusted >= LIMIT
+    arrays = {
+        "gram": grams,
+        "n": np.minimum(adjusted, LIMIT).astype(np.uint8),
+        "large": np.stack([grams[large], adjusted[large]], 1),
+    }
+    if order == 1:
+        return arrays | {"count": counts.astype(U)}, []
+    by = np.argsort(columns[0])
+    context, n = columns[0][by], adjusted[by]
+    starts = np.flatnonzero(np.append(True, context[1:] != context[:-1])[: len(context)])
+    sums = [
+        np.add.reduceat(x.astype(np.int64), starts) if len(starts) else x.astype(np.int64)
+        for x in (n, n == 1, n == 2, n >= 3)
+    ]
+    context = context[starts]
+    own = ~_among(context, hot)
+    arrays["context"] = context[own]
+    arrays["sums"] = np.stack([x[own] for x in sums], 1).astype(np.uint32)
+    kept = [
+        (int(context[i].view(np.int64)), *[int(x[i]) for x in sums]) for i in np.flatnonzero(~own)
+    ]
+    return arrays, kept
 
 
 def _written(folder: _Folder, order: int, shard: int, columns, grams, adjusted, counts, hot):
     """Write a shard of one order; rows of its statistics and of its hot contexts."""
-    folder.save(f"{order}-{shard}-gram", grams)
-    folder.save(f"{order}-{shard}-n", np.minimum(adjusted, LIMIT).astype(np.uint8))
-    large = adjusted >= LIMIT
-    folder.save(f"{order}-{shard}-large", np.stack([grams[large], adjusted[large]], 1))
-    if order == 1:
-        folder.save(f"{order}-{shard}-count", counts.astype(U))
+    arrays, kept = _arrays(order, columns, grams, adjusted, counts, hot)
+    folder.save(f"{order}-{shard}", arrays)
     rows = [
         ("stat", shard, order * 10 + i, int((adjusted == i).sum()), 0, 0, 0, None)
         for i in range(1, 5)
@@ -212,21 +268,23 @@ def _written(folder: _Folder, order: int, shard: int, columns, grams, adjusted,
     rows += [
         ("stat", shard, order * 10 + 5, len(grams), int(adjusted.sum()), int(counts.sum()), 0, None)
     ]
-    if order > 1:
-        by = np.argsort(columns[0])
-        context, n = columns[0][by], adjusted[by]
-        starts = np.flatnonzero(np.append(True, context[1:] != context[:-1])[: len(context)])
-        sums = [
-            np.add.reduceat(x.astype(np.int64), starts) for x in (n, n == 1, n == 2, n >= 3)
-        ]
-        context = context[starts]
-        own = ~_among(context, hot)
-        folder.save(f"{order}-{shard}-context", context[own])
-        folder.save(f"{order}-{shard}-sums", np.stack([x[own] for x in sums], 1).astype(np.uint32))
-        for i in np.flatnonzero(~own):
-            key = int(context[i].view(np.int64))
-            rows.append(("hot", order, key, *[int(x[i]) for x in sums], None))
-    return rows
+    return rows + [("hot", order, *sums, None) for sums in kept]
+
+
+def _empty_shards(stage: DataFrame, folder: str, order: int, shards: int) -> None:
+    """Files for the shards that got no n-gram, so that a missing file is always an error."""
+    filled = stage.filter("kind = 'stat'").select("shard").distinct()
+    empty = stage.sparkSession.range(shards).join(filled, F.col("id") == F.col("shard"), "left_anti")
+
+    def write(batches):
+        none = np.zeros(0, U)
+        arrays, _ = _arrays(order, [none] * order, none, none, none, none)
+        for batch in batches:
+            for shard in batch.column(0).to_pylist():
+                _Folder(folder).save(f"{order}-{shard}", arrays)
+            yield batch
+
+    empty.mapInArrow(write, "id long").count()
 
 
 @dataclass
@@ -265,7 +323,7 @@ def train(
     n, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     per_symbol = 6 if symbols == "words" else 1  # bytes, roughly
     shards = max(2 * width(texts), math.ceil(size / per_symbol / shard_symbols))
-    folder = f"{shared_folder(spark)}/ngrams-{uuid.uuid4().hex}"
+    folder = _qualified(spark, f"{shared_folder(spark)}/ngrams-{uuid.uuid4().hex}")
     hot = _hot_contexts(rows, n, symbols, order)
     to_symbols = SYMBOLS[symbols]
 
@@ -298,6 +356,7 @@ def train(
             .groupBy("shard")
             .applyInArrow(_reducer(folder, k, hot, shards), _OUT)
         )
+        _empty_shards(stage, folder, k, shards)
         sums = stage.filter("kind IN ('stat', 'hot')").withColumn(
             "shard", F.when(F.col("kind") == "hot", F.col("shard")).otherwise(F.lit(0))
         )
@@ -388,20 +447,26 @@ def _reducer(folder: str, k: int, hot: np.ndarray, shards: int):
 
 
 class Scorer:
-    """A model's arrays, mapped when they are first needed."""
+    """A model's arrays, mapped when they are needed; only the last used shards stay open."""
 
     def __init__(self, model: Model):
-        self.model, self.folder, self.open = model, _Folder(model.folder), {}
+        self.model, self.folder, self.open = model, _Folder(model.folder), OrderedDict()
+        self.bytes = 0
         self.hot_index = {}
         for k, sums in model.hot_sums.items():
             keys = np.array(sorted(key % (1 << 64) for key in sums), U)
             values = [sums[int(x.view(np.int64))] for x in keys]
             self.hot_index[k] = (keys, np.array(values, np.int64).reshape(-1, 4))
 
-    def _array(self, name: str, kind) -> np.ndarray:
+    def _array(self, k: int, shard: int, what: str) -> np.ndarray:
+        name = f"{k}-{shard}"
         if name not in self.open:
-            self.open[name] = self.folder.load(name, kind)
-        return self.open[name]
+            self.open[name] = self.folder.load(name)
+            self.bytes += self.open[name][1]
+            while len(self.open) > 1 and (len(self.open) > OPEN_SHARDS or self.bytes > READ_BYTES):
+                self.bytes -= self.open.popitem(last=False)[1][1]
+        self.open.move_to_end(name)
+        return self.open[name][0][what]
 
     def _find(self, k: int, what: str, shard: np.ndarray, keys: np.ndarray):
         """Per key its place in its shard's sorted array, -1 where it is missing."""
@@ -413,7 +478,7 @@ class Scorer:
         start = 0
         for end in ends + 1 if len(order) else []:
             own = order[start:end]
-            held = self._array(f"{k}-{shard[own[0]]}-{what}", U)
+            held = self._array(k, shard[own[0]], what)
             if len(held):
                 at = np.minimum(np.searchsorted(held, keys[own]), len(held) - 1)
                 place[own] = np.where(held[at] == keys[own], at, -1)
@@ -423,20 +488,20 @@ class Scorer:
     def _counts(self, k: int, shard: np.ndarray, grams: np.ndarray):
         adjusted, counts = np.zeros(len(grams)), np.zeros(len(grams))
         for s, own, at in self._find(k, "gram", shard, grams):
-            n = self._array(f"{k}-{s}-n", np.uint8)[at].astype(np.float64)
+            n = self._array(k, s, "n")[at].astype(np.float64)
             over = np.flatnonzero(n == LIMIT)
             if len(over):
-                large = self._array(f"{k}-{s}-large", U).reshape(-1, 2)
+                large = self._array(k, s, "large")
                 n[over] = large[np.searchsorted(large[:, 0], grams[own][over]), 1]
             adjusted[own] = n
             if k == 1:
-                counts[own] = self._array(f"{k}-{s}-count", U)[at]
+                counts[own] = self._array(k, s, "count")[at]
         return adjusted, counts
 
     def _contexts(self, k: int, shard: np.ndarray, contexts: np.ndarray) -> np.ndarray:
         sums = np.zeros((len(contexts), 4))
         for s, own, at in self._find(k, "context", shard, contexts):
-            sums[own] = self._array(f"{k}-{s}-sums", np.uint32).reshape(-1, 4)[at]
+            sums[own] = self._array(k, s, "sums")[at]
         keys, values = self.hot_index[k]
         if len(keys):
             at = np.minimum(np.searchsorted(keys, contexts), len(keys) - 1)

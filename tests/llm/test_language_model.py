@@ -1,5 +1,6 @@
 import math
 import os
+import resource
 import sys
 import zlib
 from collections import Counter, defaultdict
@@ -127,3 +128,43 @@ def test_query_counts_and_base_scores(spark):
         assert math.isclose(r.base_score, base, rel_tol=1e-9)
         better += r.score > r.base_score
     assert better > 0.9 * len(docs)
+
+
+def test_many_shards_under_a_small_limit_of_open_files(spark, monkeypatch):
+    """Shards follow the text, open files do not; equal scores, whatever stays open."""
+    rows = [(f"w{i % 700} v{i % 311} x{i}",) for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "text string")
+    few = kn.train(docs, shard_symbols=1 << 20)
+    many = kn.train(docs, shard_symbols=2)
+    assert many.shards > 2_500 > few.shards
+    texts = [f"w{i % 700} v{i % 311} y{i % 5} x{i}".encode() for i in range(2_000)]
+    want = kn.Scorer(few).score(texts)
+    soft, hard = resource.getrlimit(resource.RLIMIT_NOFILE)
+    resource.setrlimit(resource.RLIMIT_NOFILE, (512, hard))
+    try:
+        scorer = kn.Scorer(many)
+        got = scorer.score(texts)
+    finally:
+        resource.setrlimit(resource.RLIMIT_NOFILE, (soft, hard))
+    assert len(scorer.open) <= kn.OPEN_SHARDS
+    for name, values in want.items():
+        assert np.allclose(got[name], values), name
+    # As on a store that cannot be mapped: bytes that stay are bounded.
+    monkeypatch.setattr(kn, "READ_BYTES", 5_000)
+    reader = kn.Scorer(many)
+    monkeypatch.setattr(reader.folder, "local", False)
+    assert np.allclose(reader.score(texts)["score"], want["score"])
+    assert reader.bytes <= 5_000 or len(reader.open) == 1
+
+
+def test_a_missing_shard_is_an_error_and_the_folder_has_a_scheme(spark):
+    model = kn.train(spark.createDataFrame([("a b a b c",)], "text string"))
+    assert model.folder.startswith("file:///")
+    assert kn._qualified(spark, "/shared/x") == "file:///shared/x"
+    kn.Scorer(model).score([b"a b d"])
+    folder = model.folder.removeprefix("file://")
+    assert len(os.listdir(folder)) >= 2 * model.shards
+    for name in os.listdir(folder):
+        os.remove(f"{folder}/{name}")
+    with pytest.raises(FileNotFoundError):
+        kn.Scorer(model).score([b"a b d"])
