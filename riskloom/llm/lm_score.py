@@ -40,7 +40,7 @@ def op9_lm_score(spark, sf_dir: str) -> DataFrame:
     """All documents under a bigram model of nine tenths of them."""
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     held_out = remainder("doc_id", HELD_OUT) == 0
-    model = train(documents.filter(~held_out), symbols="words", order=2)
+    model = train(documents.filter(~held_out), symbols="words", order=3)
     return scored(documents.withColumn("held_out", held_out), model).select(
         "doc_id",
         "held_out",
