@@ -37,6 +37,7 @@ ITERATIONS = 8
 CALIBRATION = 256
 RECALL = 0.95
 SHELF_VALUES = 4_194_304
+SHELF_LEAST = 4_096
 SHELF_QUERIES = 65_536
 CELLS = 2_000_000
 ROUNDING = 1e-12
@@ -467,7 +468,8 @@ def build(
     sizes = np.zeros(tree.leaves, np.int64)
     for r in placed.groupBy("leaf").count().collect():
         sizes[r["leaf"]] = r["count"]
-    most = max(1, min(SHELF_VALUES // dim, math.ceil(n / (2 * width(placed)))))
+    # Every shelf that a query visits answers with k rows, so shelves are not made small.
+    most = min(max(SHELF_LEAST, math.ceil(n / (2 * width(placed)))), max(1, SHELF_VALUES // dim))
     asked = placed.filter(queries)
     visits = _calibrated(tree, placed, asked, dim, k, recall)
     return Index(tree, Layout.of(sizes, most), placed, dim, visits, k)
