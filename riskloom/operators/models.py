@@ -7,6 +7,7 @@ scored once, by the model that has not seen them.
 from __future__ import annotations
 
 import itertools
+import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -32,6 +33,8 @@ from riskloom.operators.joins import attach, only_members
 from riskloom.operators.ordered import auc_by_column, roc_auc
 from riskloom.session import settle
 
+log = logging.getLogger("riskloom")
+
 # Marker for a missing number, seeds of the seed ensemble, drift threshold.
 MISSING = -999.0
 SEEDS = (42, 2024)
@@ -169,8 +172,7 @@ def oof_scores(
             return learner.make(seed=seed, labelCol=label, **params).fit(fit_rows)
 
         tasks = [(fold, seed) for fold in range(k) for seed in learner.seeds]
-        with ThreadPool(min(parallel, len(tasks))) as pool:
-            models = dict(zip(tasks, pool.map(fitted, tasks)))
+        models = dict(zip(tasks, side_by_side(fitted, tasks, parallel)))
         held_out, test_columns = [], []
         for fold in range(k):
             rest = vectors(matrix, fold).filter(F.col("fold") == fold).select(key, FEATURES)
@@ -199,6 +201,12 @@ def oof_scores(
     return OutOfFold(settle(train_out), test_out and settle(test_out), table)
 
 
+def side_by_side(fit: Callable, tasks: Sequence, parallel: int = 4) -> list:
+    """The results of ``fit`` in the order of ``tasks``, a few at a time."""
+    with ThreadPool(max(1, min(parallel, len(tasks)))) as pool:
+        return pool.map(fit, tasks)
+
+
 def _mean_of(names: Sequence[str]) -> Column:
     return reduce(add, [F.col(n) for n in names]) / len(names)
 
@@ -294,11 +302,14 @@ def child_model_meta(
         )
     )
     unseen = vectors(assemble(test, columns, [key]))
-    parts, names = [], []
-    for fold in range(k):
-        model = learner.make(seed=learner.seeds[0], labelCol=label, **learner.params).fit(
+    models = side_by_side(
+        lambda fold: learner.make(seed=learner.seeds[0], labelCol=label, **learner.params).fit(
             matrix.filter(F.col("fold") != fold)
-        )
+        ),
+        range(k),
+    )
+    parts, names = [], []
+    for fold, model in enumerate(models):
         held_out = matrix.filter(F.col("fold") == fold)
         parts.append(positive_probability(model, held_out, "_p").select(key, "_p"))
         unseen = positive_probability(model, unseen, f"_p{fold}")
@@ -329,7 +340,9 @@ def reconstruct(
     ``min_known`` known values there is no reconstruction.
     """
     known = train.filter(F.col(column).isNotNull())
-    if known.limit(min_known).count() < min_known:
+    held = known.limit(min_known).count()
+    if held < min_known:
+        log.warning("%s is not reconstructed: %d known values of %d", column, held, min_known)
         return None
     out = f"PRED_{column}"
     settings = {"maxIter": 20, "maxDepth": 5, "stepSize": 0.1} | params
@@ -345,14 +358,16 @@ def reconstruct(
     )
     missing = vectors(assemble(train.filter(F.col(column).isNull()), features, [key]))
     unseen = vectors(assemble(test, features, [key]))
+    # The last model is of all known rows.
+    *models, full = side_by_side(
+        lambda fold: learn().fit(matrix.filter(F.col("fold") != fold)), range(k + 1)
+    )
     parts, names = [], []
-    for fold in range(k):
-        model = learn().fit(matrix.filter(F.col("fold") != fold))
+    for fold, model in enumerate(models):
         held_out = matrix.filter(F.col("fold") == fold)
         parts.append(model.transform(held_out).select(key, F.col("_p").alias(out)))
         unseen = model.transform(unseen).withColumnRenamed("_p", f"_p{fold}")
         names.append(f"_p{fold}")
-    full = learn().fit(matrix)
     parts.append(full.transform(missing).select(key, F.col("_p").alias(out)))
     return (
         reduce(DataFrame.unionByName, parts),

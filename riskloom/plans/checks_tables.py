@@ -10,6 +10,7 @@ from riskloom.operators import aggregate as G
 from riskloom.operators import clean as C
 from riskloom.operators import folds
 from riskloom.plans.registry import days_from, days_sql, query, rounded, scratch, table
+from riskloom.sources import catalogue
 from riskloom.sources import tables as S
 
 ORDER_DAYS = days_sql("o_orderdate")
@@ -329,3 +330,76 @@ def stage_metrics(spark, sf):
         [(s, int(m["rows"]), int(m["columns"]), int(m["nulls"])) for s, m in stages.items()],
         "stage string, rows long, columns int, nulls long",
     )
+
+
+@query(
+    "joined_stages",
+    """
+    SELECT c_custkey, n_orders, total, n_nations, CAST('meta_absent,meta_part' AS VARCHAR) AS absent
+    FROM customer
+    LEFT JOIN (SELECT o_custkey AS c_custkey, count(*) AS n_orders,
+                      round(coalesce(sum(o_totalprice), 0), 2) AS total
+               FROM orders GROUP BY 1) USING (c_custkey)
+    LEFT JOIN (SELECT c_custkey, count(*) AS n_nations
+               FROM customer JOIN nation ON n_nationkey = c_nationkey GROUP BY 1) USING (c_custkey)
+    """,
+)
+def joined_stages(spark, sf):
+    """Stages found by their entries: two are there, one was never made, one was not finished."""
+    root, key = scratch(spark, "catalogue"), "c_custkey"
+    orders = table(spark, sf, "orders").withColumnRenamed("o_custkey", key)
+    customer = table(spark, sf, "customer")
+    nations = customer.join(
+        table(spark, sf, "nation"), F.col("n_nationkey") == F.col("c_nationkey")
+    )
+    builds = {
+        "meta_orders": lambda: G.to_parent(
+            orders, key, {"n_orders": A.rows(), "total": F.round(A.total(F.col("o_totalprice")), 2)}
+        ),
+        "meta_nation": lambda: G.to_parent(nations, key, {"n_nations": A.rows()}),
+    }
+    for name, build in builds.items():
+        catalogue.publish(build, root, name, [key], {"seed": 42}, [orders, customer])
+    customer.select(key).write.option(
+        "mapreduce.fileoutputcommitter.marksuccessfuljobs", "false"
+    ).parquet(f"{root}/meta_part-0")
+    wanted = ["meta_absent", "meta_nation", "meta_orders", "meta_part"]
+    found, absent = catalogue.join_present(customer.select(key), root, wanted, [key])
+    return found.withColumn("absent", F.lit(",".join(absent)))
+
+
+@query(
+    "csv_declared",
+    """
+    SELECT s_suppkey, s_name, s_acctbal, NULL::VARCHAR AS broken, FALSE AS replaced FROM supplier
+    UNION ALL
+    SELECT NULL, 'Supplier x', s_acctbal, 'x' || s_suppkey || ',Supplier x,' || s_acctbal, FALSE
+    FROM supplier WHERE s_suppkey % 7 = 0
+    UNION ALL
+    SELECT s_suppkey, chr(65533), NULL, s_suppkey || ',' || chr(65533), TRUE
+    FROM supplier WHERE s_suppkey % 11 = 0
+    """,
+)
+def csv_declared(spark, sf):
+    """Good lines, lines with a key that is no number, short lines with an undecodable byte."""
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    folder = scratch(spark, "declared")
+    rows.write.option("header", True).csv(f"{folder}/good.csv")
+    number = F.col("s_suppkey").cast("string")
+    wrong = rows.filter("s_suppkey % 7 = 0").select(
+        F.concat(F.lit("x"), number, F.lit(",Supplier x,"), F.col("s_acctbal").cast("string"))
+    )
+    wrong.write.text(f"{folder}/wrong.csv")
+    # Byte FF, which no UTF-8 text holds.
+    short = rows.filter("s_suppkey % 11 = 0").select(number, F.lit("\u00ff"))
+    short.write.option("encoding", "ISO-8859-1").csv(f"{folder}/short.csv")
+    good = S.csv_to_parquet(
+        spark, f"{folder}/good.csv", f"{folder}/good.parquet", rows.schema, keep_faults=True
+    )
+    parts = [good] + [
+        S.read_declared(spark, f"{folder}/{name}.csv", rows.schema, header=False)
+        for name in ("wrong", "short")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumnsRenamed(
+        {S.BROKEN: "broken", S.REPLACED: "replaced"}
+    )

@@ -14,9 +14,10 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom import session
 from riskloom.functions import aggregates, expressions
 from riskloom.functions.expressions import guarded_ratio, narrowed
-from riskloom.operators import aggregate, clean, folds, ordered
+from riskloom.operators import aggregate, clean, folds, joins, ordered
 from riskloom.operators import models as M
 from riskloom.operators.encode import encode_per_fold
 from riskloom.operators.joins import with_group_key
@@ -74,6 +75,7 @@ class Settings:
     neighbour_search: str = "cells"
     child_models: Sequence[str] = ()
     reconstruct: bool = False
+    min_known: int = 1000
     search: dict = field(default_factory=dict)
     search_share: float = 1.0
     fold_safe_neighbours: bool = False
@@ -88,12 +90,18 @@ class Settings:
 
 
 def load(spark: SparkSession, data_dir: str) -> dict[str, DataFrame]:
-    """All tables that exist as Parquet or CSV; a CSV is converted once."""
+    """All tables that exist as Parquet or CSV; a CSV is converted once.
+
+    A file ``schemas.json`` beside them may declare the columns of a CSV, which is then read once.
+    """
     found = {}
+    schemas = S.declared_schemas(spark, f"{data_dir.rstrip('/')}/schemas.json")
     for name in TABLES:
         stem = f"{data_dir.rstrip('/')}/{name}"
         if S.exists(spark, f"{stem}.csv"):
-            found[name] = S.csv_to_parquet(spark, f"{stem}.csv", f"{stem}.parquet")
+            found[name] = S.csv_to_parquet(
+                spark, f"{stem}.csv", f"{stem}.parquet", schemas.get(name)
+            )
         else:
             table = S.optional_table(spark, f"{stem}.parquet")
             if table is not None:
@@ -140,7 +148,7 @@ def reconstructions(
     ]
     pairs = [
         M.reconstruct(train, test, c, features, credit.APPLICANT, settings.folds,
-                      seed=settings.seed, maxIter=settings.rounds)
+                      min_known=settings.min_known, seed=settings.seed, maxIter=settings.rounds)
         for c in credit.EXT_SOURCES
         if c in train.columns
     ]
@@ -198,7 +206,7 @@ def add_neighbours(
 
 def _fingerprint(settings: Settings) -> dict[str, object]:
     return {"seed": settings.seed, "sample": settings.sample, "rounds": settings.rounds,
-            "folds": settings.folds, "code": S.code_digest(M, clean, folds, aggregate)}
+            "folds": settings.folds, "code": S.code_digest(M, clean, folds, aggregate, joins, session, expressions)}
 
 
 def build_features(
@@ -211,7 +219,9 @@ def build_features(
     cap = clean.fit_cap(train, "OWN_CAR_AGE") if "OWN_CAR_AGE" in train.columns else None
     train, test = (credit.clean_application(t, cap) for t in (train, test))
     children = {}
-    code = S.code_digest(credit, aggregate, ordered, aggregates, expressions)
+    code = S.code_digest(
+        credit, aggregate, clean, ordered, joins, session, aggregates, expressions
+    )
     for name, (build, reads) in credit.CHILDREN.items():
         inputs = [tables[t] for t in reads]
         children[name] = S.staged(

@@ -7,9 +7,12 @@ import inspect
 import json
 import logging
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 log = logging.getLogger("riskloom")
 
@@ -21,15 +24,54 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+BROKEN, REPLACED = "_broken", "_replaced"
+
+
+def declared_schemas(spark: SparkSession, path: str) -> dict[str, T.StructType]:
+    """Schemas by table from a JSON file of DDL strings; none where there is no such file."""
+    if not exists(spark, path):
+        return {}
+    declared = json.loads(spark.read.text(path, wholetext=True).first()["value"])
+    return {name: T.StructType.fromDDL(ddl) for name, ddl in declared.items()}
+
+
+def read_declared(
+    spark: SparkSession,
+    csv_path: str | Sequence[str],
+    schema: T.StructType,
+    header: bool = True,
+) -> DataFrame:
+    """A CSV in one pass, by its declared schema, with what went wrong in two more columns.
+
+    ``_broken`` is the whole line where it has too few or too many fields or a field that is not of
+    its type (such fields are null, the others stay), else null. ``_replaced`` tells whether bytes
+    of a text field could not be decoded; each such place holds the replacement character.
+    """
+    read = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    rows = (
+        spark.read.schema(read)
+        .options(
+            header=header, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord=BROKEN
+        )
+        .csv(csv_path)
+    )
+    text = [f.name for f in schema.fields if f.dataType == T.StringType()]
+    spoilt = [F.coalesce(F.col(c).contains("\ufffd"), F.lit(False)) for c in text]
+    return rows.withColumn(REPLACED, reduce(or_, spoilt, F.lit(False)))
+
+
 def csv_to_parquet(
-    spark: SparkSession, csv_path: str, parquet_path: str, schema=None
+    spark: SparkSession, csv_path: str, parquet_path: str, schema=None, keep_faults: bool = False
 ) -> DataFrame:
     """Convert once: a finished Parquet table is read back, anything else is written from the CSV.
 
     Undecodable bytes become the replacement character. A declared schema saves the pass that
-    infers one.
+    infers one; with ``keep_faults`` it also keeps the columns of ``read_declared``.
     """
-    if not exists(spark, f"{parquet_path}/_SUCCESS"):
+    if keep_faults and schema is not None:
+        if not exists(spark, f"{parquet_path}/_SUCCESS"):
+            read_declared(spark, csv_path, schema).write.mode("overwrite").parquet(parquet_path)
+    elif not exists(spark, f"{parquet_path}/_SUCCESS"):
         reader = spark.read.option("header", True).option("encoding", "UTF-8")
         rows = reader.schema(schema).csv(csv_path) if schema else reader.option(
             "inferSchema", True
