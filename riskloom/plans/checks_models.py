@@ -86,6 +86,40 @@ def oof_tree(spark, sf):
     return both.select("o_orderkey", *rounded(9, "tree"))
 
 
+def _tree_as_deep_as_its_seed(seed: int, **params):
+    return M.decision_tree(seed, maxDepth=seed, **params)
+
+
+@query(
+    "seed_ensemble_tree",
+    f"""
+    WITH o AS ({_PRICED_SQL}), seen AS (
+      SELECT *, {_fold_sql("o_orderkey", "y", 5)} AS fold FROM o WHERE NOT unseen
+    ), fits AS (
+      SELECT f.fold, s.y, s.b FROM seen s JOIN (SELECT DISTINCT fold FROM seen) f
+      ON s.fold <> f.fold
+    ), flat AS (
+      SELECT fold, avg(y) AS p0 FROM fits GROUP BY 1
+    ), deep AS (
+      SELECT fold, b, avg(y) AS p1 FROM fits GROUP BY 1, 2
+    )
+    SELECT o_orderkey, round((p0 + p1) / 2, 9) AS tree
+    FROM seen JOIN flat USING (fold) JOIN deep USING (fold, b)
+    UNION ALL
+    SELECT o_orderkey, round(avg((p0 + p1) / 2), 9)
+    FROM o JOIN deep USING (b) JOIN flat USING (fold) WHERE unseen GROUP BY 1
+    """,
+)
+def seed_ensemble_tree(spark, sf):
+    """Two seeds that give different trees: one leaf for seed 0, two leaves for seed 1."""
+    rows = settle(_priced(spark, sf))
+    seen = folds.stratified_folds(rows.filter("NOT unseen"), "o_orderkey", "y", 5)
+    learner = M.Learner("tree", _tree_as_deep_as_its_seed, (0, 1))
+    out = M.oof_scores(seen, rows.filter("unseen"), ["b"], "y", "o_orderkey", [learner], 5)
+    both = out.train.select("o_orderkey", "tree").unionByName(out.test)
+    return both.select("o_orderkey", *rounded(9, "tree"))
+
+
 _ORIGIN_SQL = f"""
   SELECT CASE WHEN d < -1200 THEN 0 ELSE 1 END AS origin, CAST(d < -1000 AS DOUBLE) AS b,
          CASE WHEN d < -1200 THEN '0:' ELSE '1:' END || o_orderkey AS place
@@ -120,6 +154,30 @@ def adversarial_tree(spark, sf):
     return top.withColumns({"auc": F.lit(round(auc, 9)), "drifting": F.lit(drifting)})
 
 
+
+@query(
+    "adversarial_top",
+    f"""
+    SELECT feature, CAST(feature = 'b' AS INTEGER)::DOUBLE AS importance, round(auc, 9) AS auc
+    FROM (SELECT 'b' AS feature UNION ALL
+          SELECT 'c' || lpad(i::VARCHAR, 2, '0') FROM range(1, 15) t(i)) v
+    CROSS JOIN (SELECT ({_auc_sql(_ORIGIN_SCORED_SQL, "origin", "p")}) AS auc)
+    """,
+)
+def adversarial_top(spark, sf):
+    """Twenty columns, of which one tells the origin: it and the first fourteen others are kept."""
+    days = days_from("o_orderdate")
+    names = [f"c{i:02d}" for i in range(19, 0, -1)]
+    rows = table(spark, sf, "orders").select(
+        "o_orderkey", *[F.lit(float(i)).alias(c) for i, c in enumerate(names)],
+        (days < -1000).cast("double").alias("b"), (days < -1200).alias("old"),
+    )
+    auc, _, top = M.adversarial(
+        rows.filter("old"), rows.filter("NOT old"), [*names, "b"], "o_orderkey", FOLDS, TREE
+    )
+    return top.withColumn("auc", F.lit(round(auc, 9)))
+
+
 _CHILD_SQL = f"""
   SELECT o_custkey, o_custkey % 2 AS y,
          CAST((o_custkey % 2 + CAST(o_orderkey % 5 = 0 AS INTEGER)) % 2 AS DOUBLE) AS b,
