@@ -5,7 +5,7 @@ again as the next one's ``docs``. All but the last return the columns of ``docum
 
 1. the quality classifier rejects documents unlike trusted text of their language;
 2. line dedup drops lines that a document with a smaller id holds too, and sets ``n_chars`` anew;
-3. one document of each group of near copies (five-word shingles, similarity 0.8 or more) stays;
+3. one document of each group of near copies (SimHash of three-word shingles, two bits) stays;
 4. documents that hold a window of a benchmark item go;
 5. mixing gives the training order, a row per pass that takes a document.
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import curriculum, decontaminate, line_dedup, near_copies, quality
+from riskloom.llm import curriculum, decontaminate, line_dedup, quality, simhash
 from riskloom.session import write_out
 
 
@@ -31,7 +31,7 @@ def unique_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_copies.without_near_copies(docs)
+    return simhash.without_near_duplicates(docs)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
