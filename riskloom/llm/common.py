@@ -58,6 +58,18 @@ def remainder(column: str, base: int) -> Column:
     return F.pmod(F.crc32(text.cast("binary")), F.lit(base))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores before it until no column of ``df`` has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def width(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm.common import free_names
 from riskloom.operators.ordered import running_totals
 from riskloom.session import write_out
 
@@ -211,27 +212,29 @@ def mixed(documents: DataFrame) -> DataFrame:
     """Documents in training order: a row per pass that takes one, with ``position, words``.
 
     ``words`` of the text, counted from its start, belong to the mix. Rows that agree in id, source
-    and text have the same part in it. Columns named ``position`` or ``words`` are replaced.
+    and text have the same part in it. Columns named ``position`` or ``words`` are replaced, others
+    pass through, whatever their names. An empty table stays empty.
     """
+    base = documents.drop("position", "words")
+    id_, source, none, hash_, one = free_names(
+        base, "_id", "_source", "_none", "_text_hash", "_pass"
+    )
     key = {
-        "_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-        "_source": F.coalesce("source", F.lit("")),
-        "_none": F.col("source").isNull(),
+        id_: F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+        source: F.coalesce("source", F.lit("")),
+        none: F.col("source").isNull(),
     }
     plan = (
         curriculum(documents)
         .filter("taken > 0")
-        .select("passes", "text_hash", *[c.alias(n) for n, c in key.items()])
-        .groupBy("text_hash", *key)
-        .agg(F.max("passes").alias("passes"))
-    )
-    base = documents.drop("position", "words")
-    joined = base.withColumns({**key, "text_hash_": F.xxhash64("text")}).join(
-        plan.withColumnRenamed("text_hash", "text_hash_"), ["text_hash_", *key]
+        .select("passes", F.col("text_hash").alias(hash_), *[c.alias(n) for n, c in key.items()])
+        .groupBy(hash_, *key)
+        .agg(F.max("passes").alias(one))
     )
+    joined = base.withColumns({**key, hash_: F.xxhash64("text")}).join(plan, [hash_, *key])
     return (
-        joined.select(*[joined[c] for c in base.columns], F.explode("passes").alias("_pass"))
-        .select(*base.columns, "_pass.position", "_pass.words")
+        joined.select(*base.columns, F.explode(one).alias(one))
+        .select(*base.columns, f"{one}.position", f"{one}.words")
         .orderBy("position", "doc_id")
     )
 

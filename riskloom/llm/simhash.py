@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import signed, slices, utf8
+from riskloom.llm.common import free_names, signed, slices, utf8
 from riskloom.session import write_out
 
 SHINGLE = 3
@@ -394,7 +394,12 @@ def near_duplicates(
 
 
 def without_near_duplicates(documents: DataFrame) -> DataFrame:
-    """One row of each component: that of the least doc_id (null last), of equal ids any one."""
+    """One row of each component: that of the least doc_id (null last), of equal ids any one.
+
+    Components are those of ``near_duplicates``. Repeated rows are near copies; all texts without
+    a word are one component. An empty table stays empty; other columns pass through, whatever
+    their names.
+    """
     prints = write_out(fingerprints(documents))
     first = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_hash")
     each = prints.groupBy("fp").agg(F.min(first).alias("first"))
@@ -405,15 +410,22 @@ def without_near_duplicates(documents: DataFrame) -> DataFrame:
 
 def first_rows(documents: DataFrame, heads: DataFrame) -> DataFrame:
     """One row of ``documents`` for each ``first`` (_none, doc_id, text_hash) of ``heads``."""
-    id_, hash_ = F.coalesce("doc_id", F.lit(0)).cast("long"), F.xxhash64("text")
-    key = {"_none": F.col("doc_id").isNull(), "_id": id_, "_hash": hash_}
-    keep = heads.select("first.*").select(
-        "_none", id_.alias("_id"), F.col("text_hash").alias("_hash")
+    key = free_names(documents, "_none", "_id", "_hash")
+    number = free_names(documents, *key, "_n")[-1]
+    heads = heads.select("first.*")
+    keep = heads.select(
+        F.col("_none").alias(key[0]),
+        F.coalesce("doc_id", F.lit(0)).cast("long").alias(key[1]),
+        F.col("text_hash").alias(key[2]),
     )
-    kept = documents.withColumns(key).join(keep, list(key), "left_semi")
-    one = Window.partitionBy(*key).orderBy("_hash")
-    return kept.withColumn("_n", F.row_number().over(one)).filter("_n = 1").select(
-        *documents.columns
+    id_ = F.coalesce(documents["doc_id"], F.lit(0)).cast("long")
+    made = [documents["doc_id"].isNull(), id_, F.xxhash64(documents["text"])]
+    kept = documents.withColumns(dict(zip(key, made))).join(keep, key, "left_semi")
+    one = Window.partitionBy(*key).orderBy(key[2])
+    return (
+        kept.withColumn(number, F.row_number().over(one))
+        .filter(F.col(number) == 1)
+        .select(*documents.columns)
     )
 
 
