@@ -40,10 +40,36 @@ class CuckooFilter:
         buckets = max(2, int(len(hashes) / (0.8 * SLOTS)) + 1)
         while True:
             made = cls(buckets)
-            if all(made.add(int(h)) for h in hashes):
+            if all(made.add(int(h)) for h in made._filled(hashes)):
                 return made
             buckets = made.buckets * 2
 
+    def _filled(self, hashes: np.ndarray) -> np.ndarray:
+        """Puts hashes into an empty table at once; those left over found both buckets full."""
+        used = np.zeros(self.buckets, np.int64)
+        last = np.uint64(self.buckets - 1)
+        for second in (False, True):
+            mark, bucket = self._homes(hashes)
+            if second:
+                bucket = (bucket ^ _mixed_all(mark)) & last
+            order = np.argsort(bucket, kind="stable")
+            bucket, mark = bucket[order].astype(np.int64), mark[order]
+            starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+            sizes = np.diff(np.append(starts, len(bucket)))
+            slot = used[bucket] + np.arange(len(bucket)) - np.repeat(starts, sizes)
+            fits = slot < SLOTS
+            self.table[bucket[fits], slot[fits]] = mark[fits].astype(np.uint16)
+            used += np.bincount(bucket[fits], minlength=self.buckets)
+            hashes = hashes[order[~fits]]
+        return hashes
+
+    def _homes(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Marks and first buckets."""
+        hashes = _mixed_all(hashes.astype(np.uint64, copy=False))
+        mark = hashes >> np.uint64(48)
+        mark[mark == 0] = 1
+        return mark, hashes & np.uint64(self.buckets - 1)
+
     @classmethod
     def loads(cls, blob: bytes) -> CuckooFilter:
         table = np.frombuffer(blob, np.uint16).reshape(-1, SLOTS).copy()
@@ -95,11 +121,7 @@ class CuckooFilter:
 
     def holds(self, hashes: np.ndarray) -> np.ndarray:
         """Whether each hash may have been added."""
-        hashes = _mixed_all(hashes.astype(np.uint64, copy=False))
-        mark = hashes >> np.uint64(48)
-        mark[mark == 0] = 1
-        last = np.uint64(self.buckets - 1)
-        first = hashes & last
-        second = (first ^ _mixed_all(mark)) & last
+        mark, first = self._homes(hashes)
+        second = (first ^ _mixed_all(mark)) & np.uint64(self.buckets - 1)
         mark = mark.astype(np.uint16)[:, None]
         return (self.table[first] == mark).any(1) | (self.table[second] == mark).any(1)

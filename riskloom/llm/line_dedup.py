@@ -27,13 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.llm.common import BLANKS, annotated, slices, utf8
+from riskloom.llm.common import BLANKS, annotated, free_names, slices, utf8
 from riskloom.llm.cuckoo import CuckooFilter
 from riskloom.session import write_out
 
 MIN_CHARS = 10
 SHARD_ROWS = 200_000
 KEY = ["shard", "k1", "k2"]
+LINE = [*KEY, "doc_id", "text_hash"]
 NO_ID = (1 << 63) - 1
 RESULT = (
     T.StructType()
@@ -55,26 +56,28 @@ def _keyed_lines(text: bytes | None, least: int) -> list[tuple[bytes, bytes | No
 
 
 def line_keys(documents: DataFrame, text: str, doc_id: str, least: int = MIN_CHARS) -> DataFrame:
-    """``k1, k2, doc_id`` once per document row and key; a null id counts as the largest."""
+    """``k1, k2, doc_id, text_hash`` once per document row and key; a null id is the largest."""
 
     def stage(batches):
         for batch in slices(batches):
-            hashes, ids = [], []
-            for doc, value in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+            hashes, sizes = [], []
+            for value in utf8(batch.column(2)):
                 keys = {h for _, h in _keyed_lines(value, least) if h is not None}
                 hashes += keys
-                ids += [doc] * len(keys)
+                sizes.append(len(keys))
             pairs = np.frombuffer(b"".join(hashes), np.int64).reshape(-1, 2)
+            ids = [np.repeat(batch.column(i).to_numpy(), sizes) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(ids, pa.int64())],
-                names=["k1", "k2", "doc_id"],
+                [pa.array(x) for x in (pairs[:, 0], pairs[:, 1], *ids)],
+                names=["k1", "k2", "doc_id", "text_hash"],
             )
 
     chosen = documents.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
         F.col(text).alias("text"),
     )
-    return chosen.mapInArrow(stage, "k1 long, k2 long, doc_id long")
+    return chosen.mapInArrow(stage, "k1 long, k2 long, doc_id long, text_hash long")
 
 
 @dataclass
@@ -102,15 +105,33 @@ class LineIndex:
         )
 
     def insert(self, documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> LineIndex:
-        """The index with these documents too. Rows of one doc_id count as one document."""
-        lines = line_keys(documents, text, doc_id, self.least)
-        new = lines.select(
-            F.pmod("k1", F.lit(self.shards)).alias("shard"), "k1", "k2", "doc_id"
-        ).distinct()
+        """The index with these documents too. Rows of one doc_id count as one document.
+
+        There are more shards once the postings outgrow ``SHARD_ROWS`` for each of them.
+        """
+        new = line_keys(documents, text, doc_id, self.least).select("k1", "k2", "doc_id")
+        new = new.distinct()
         if not self.postings.isEmpty():
-            new = new.join(self.postings, [*KEY, "doc_id"], "left_anti")
+            new = new.join(self.postings, ["k1", "k2", "doc_id"], "left_anti")
         new = write_out(new)
-        return self._recounted(self.postings.unionByName(new), new)
+        base = self._fitted(self.postings.count() + new.count())
+        new = base._sharded(new)
+        return base._recounted(base.postings.unionByName(new), new)
+
+    def _sharded(self, rows: DataFrame) -> DataFrame:
+        shard = F.pmod("k1", F.lit(self.shards)).alias("shard")
+        return rows.select(shard, *[c for c in rows.columns if c != "shard"])
+
+    def _fitted(self, lines: int) -> LineIndex:
+        """The same index in enough shards for so many postings, twice as many at least."""
+        if lines <= self.shards * SHARD_ROWS:
+            return self
+        made = replace(self, shards=max(2 * self.shards, math.ceil(lines / SHARD_ROWS)))
+        made.postings, made.counts = made._sharded(self.postings), made._sharded(self.counts)
+        if not self.counts.isEmpty():
+            held = made.counts.filter("refs >= 2").select("shard", "k1")
+            made.filters = write_out(_changed(self.filters, held, held, True))
+        return made
 
     def delete(self, ids: DataFrame, doc_id: str = "doc_id") -> LineIndex:
         """The index without the documents of these ids; unknown ids change nothing."""
@@ -154,8 +175,8 @@ class LineIndex:
         return replace(self, postings=postings, counts=counts, filters=filters)
 
     def repeated(self, lines: DataFrame) -> DataFrame:
-        """Of ``k1, k2, doc_id`` rows, those that another document with a smaller id holds too."""
-        lines = lines.withColumn("shard", F.pmod("k1", F.lit(self.shards)))
+        """Of the lines (``line_keys``), those that another document with a smaller id holds too."""
+        lines = self._sharded(lines)
         mean = self.postings.count() / self.shards
         salts = F.ceil(F.col("count") / (2 * mean + 1)).cast("int")
         # Shards of more than twice the mean: fewer than half of the shards, so fit to broadcast.
@@ -165,9 +186,8 @@ class LineIndex:
             .filter("salts > 1")
         )
         spread = lines.join(F.broadcast(sizes), "shard", "left").select(
-            *KEY,
-            "doc_id",
-            F.pmod(F.xxhash64("doc_id"), F.coalesce("salts", F.lit(1))).alias("salt"),
+            *LINE,
+            F.pmod(F.xxhash64("doc_id", "text_hash"), F.coalesce("salts", F.lit(1))).alias("salt"),
         )
         copies = self.filters.join(F.broadcast(sizes), "shard", "left").select(
             "shard",
@@ -179,10 +199,10 @@ class LineIndex:
         passed = (
             spread.groupBy("shard", "salt")
             .cogroup(copies.groupBy("shard", "salt"))
-            .applyInArrow(_passing, "shard long, k1 long, k2 long, doc_id long")
+            .applyInArrow(_passing, ", ".join(f"{c} long" for c in LINE))
         )
         exact = self.counts.filter("refs >= 2").select(*KEY, "owner")
-        return passed.join(exact, KEY).filter("doc_id > owner").select("k1", "k2", "doc_id")
+        return passed.join(exact, KEY).filter("doc_id > owner").select(*LINE[1:])
 
 
 def _changed(filters: DataFrame, crossed: DataFrame, held: DataFrame, first: bool) -> DataFrame:
@@ -230,7 +250,7 @@ def _hashes(table: pa.Table) -> np.ndarray:
 
 
 def _passing(lines: pa.Table, filters: pa.Table) -> pa.Table:
-    lines = lines.select([*KEY, "doc_id"])
+    lines = lines.select(LINE)
     if not lines.num_rows or not filters.num_rows:
         return lines.slice(0, 0)
     cells = CuckooFilter.loads(filters.column("cells")[0].as_py())
@@ -249,21 +269,25 @@ def deduplicated(
     A line goes if its key has at least ``MIN_CHARS`` code points and a document with a smaller id
     holds it too. Without ``index``, one of these documents is made. Null and empty texts are one
     empty line. Rows that share a doc_id count as one document, so neither loses lines to the
-    other; a null id counts as the largest id. Other columns pass through; one named ``into`` is
-    replaced. An empty table stays empty.
+    other; a null id counts as the largest id. Ids must be numbers. Other columns pass through,
+    whatever their names; one named ``into`` is replaced. An empty table stays empty.
     """
+    documents = documents.drop(into)
+    gone, doc, hash_ = free_names(documents, "_drops", "_doc", "_text_hash")
     spark = documents.sparkSession
     index = index or LineIndex.empty(spark).insert(documents, doc_id, text)
-    lines = index.postings.select("k1", "k2", "doc_id")
+    least = index.least
+    # Rows of one id share no list, or one of a frequent id would hold the lines of all its texts.
     drops = (
-        index.repeated(lines)
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("k1", "k2")).alias("_drops"))
-        .withColumnRenamed("doc_id", "_doc")
+        index.repeated(line_keys(documents, text, doc_id, least))
+        .groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(hash_))
+        .agg(F.collect_set(F.struct("k1", "k2")).alias(gone))
     )
-    key = F.coalesce(documents[doc_id].cast("long"), F.lit(NO_ID))
-    joined = documents.join(drops, key == drops["_doc"], "left").drop("_doc")
-    least = index.least
+    key = {
+        doc: F.coalesce(documents[doc_id].cast("long"), F.lit(NO_ID)),
+        hash_: F.xxhash64(documents[text]),
+    }
+    joined = documents.withColumns(key).join(drops, list(key), "left").drop(*key)
 
     def rows(columns: list[pa.Array]) -> pa.Array:
         n_lines, n_dropped, kept = [], [], []
@@ -284,16 +308,17 @@ def deduplicated(
             names=["n_lines", "n_dropped", "kept"],
         )
 
-    return annotated(joined, [text, "_drops"], into, RESULT, rows).drop("_drops")
+    return annotated(joined, [text, gone], into, RESULT, rows).drop(gone)
 
 
 def with_unique_lines(documents: DataFrame) -> DataFrame:
     """Documents with their repeated lines dropped and ``n_chars`` set anew."""
-    made = deduplicated(documents, into="_lines")
+    lines = free_names(documents, "_lines")[0]
+    made = deduplicated(documents, into=lines)
     return made.withColumns(
         {
-            "text": F.col("_lines.kept"),
-            "n_chars": F.length("_lines.kept").cast("long"),
+            "text": F.col(f"{lines}.kept"),
+            "n_chars": F.length(f"{lines}.kept").cast("long"),
         }
     ).select(*documents.columns)
 

@@ -64,6 +64,46 @@ def test_line_index_inserts_and_deletes(spark):
     assert sorted(map(tuple, got), key=str) == kept_lines(left)
 
 
+def test_shards_follow_the_lines(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    first, second = docs.filter("doc_id % 3 = 0"), docs.filter("doc_id % 3 != 0")
+    small = line_dedup.LineIndex.empty(spark).insert(first)
+    monkeypatch.setattr(line_dedup, "SHARD_ROWS", 3)
+    few = line_dedup.LineIndex.empty(spark).insert(first)
+    lines = few.postings.count()
+    assert few.shards >= lines / 3 > small.shards
+    for index in (few, small):
+        whole = index.insert(second)
+        assert whole.shards >= whole.postings.count() / 3
+        got = line_dedup.deduplicated(docs, whole).select("doc_id", "lines.kept").collect()
+        rows = [(r.doc_id, r.text) for r in docs.collect()]
+        assert sorted(map(tuple, got), key=str) == kept_lines(rows)
+
+
+def test_rows_of_one_id_have_lists_of_their_own(spark):
+    rows = [(1, "a line that all the texts share", 1, 2, 3)]
+    for n in range(300):
+        text = f"a line that all the texts share\na line of number {n // 2}\nof {n} alone, says it"
+        rows.append((None if n % 3 else 7, text, 1, 2, 3))
+    df = spark.createDataFrame(rows, "doc_id long, text string, _drops int, _doc int, _lines int")
+    made = line_dedup.deduplicated(df)
+    got = made.select("doc_id", "lines.kept").collect()
+    assert sorted(map(tuple, got), key=str) == kept_lines([r[:2] for r in rows])
+    assert {tuple(r) for r in made.select("_drops", "_doc", "_lines").collect()} == {(1, 2, 3)}
+    assert line_dedup.with_unique_lines(df.withColumn("n_chars", near.F.lit(0))).count() == 301
+
+
+def test_near_duplicates_keep_clashing_columns(spark):
+    df = spark.createDataFrame(
+        [(n, f"the same words in text {n // 2}", n, -n, "x", n) for n in range(6)],
+        "doc_id long, text string, _id long, _hash long, _none string, _N long",
+    )
+    left = near.without_near_duplicates(df)
+    assert left.columns == df.columns
+    rows = [tuple(r) for r in left.collect()]
+    assert rows and all(r[2] == r[5] == r[0] == -r[3] and r[4] == "x" for r in rows)
+
+
 def test_cuckoo_filter_forgets():
     rng = np.random.default_rng(5)
     hashes = np.unique(rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(16))
