@@ -5,6 +5,8 @@ sys.path.insert(0, os.path.dirname(__file__))
 from brute import SCHEMA, least_reachable, odd_rows, simhash, words  # noqa: E402
 from test_dedup import kept_lines  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 import corpus_pipeline  # noqa: E402
 from riskloom.llm import decontaminate, quality  # noqa: E402
 
@@ -48,7 +50,11 @@ def test_stages_against_brute_force(spark):
 
 def test_awkward_documents(spark):
     df = spark.createDataFrame(odd_rows(), SCHEMA)
+    names = ["_id", "_hash", "_source", "_pass", "_drops", "_lang"]
+    df = df.withColumns({c: F.lit(i) for i, c in enumerate(names)})
     for docs in (df, df.limit(0)):
         for _, run in corpus_pipeline.STAGES:
             docs = run(spark, docs, SF)
-        assert docs.count() == len({(r.doc_id, r.position) for r in docs.collect()})
+        rows = docs.collect()
+        assert len(rows) == len({(r.doc_id, r.position) for r in rows})
+        assert all([r[c] for c in names] == list(range(len(names))) for r in rows)
