@@ -127,7 +127,8 @@ def contamination(
     ``spans`` holds starts and ends of disjoint word ranges in turn; ``items`` the distinct ids, as
     strings, of items of which a window occurs. Null and empty texts have no words. Items without
     words have no window; a null item id is the empty string; repeated items count once per id.
-    Other columns pass through, one named ``into`` is replaced. An empty benchmark hits nothing.
+    Repeated documents stay. Other columns pass through, one named ``into`` is replaced. An empty
+    benchmark hits nothing; an empty table of documents stays empty.
     """
     spark = documents.sparkSession
     held = benchmark.select(

@@ -24,7 +24,8 @@ def scored(documents: DataFrame, model: Model, text: str = "text", into: str = "
     """``documents`` with a struct ``into`` of tokens, known tokens and log10 probabilities.
 
     ``score`` is the model's, ``base_score`` that of additively smoothed unigrams. Null and empty
-    texts are one end symbol. Other columns pass through; one named ``into`` is replaced.
+    texts are one end symbol. Repeated rows stay, equal texts have equal scores, and an empty table
+    stays empty. Other columns pass through; one named ``into`` is replaced.
     """
 
     def rows(columns: list[pa.Array]) -> pa.Array:

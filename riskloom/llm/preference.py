@@ -98,8 +98,8 @@ def formatted(
     ``n_common`` turns that both start with; ``prompt``; ``chosen`` and ``rejected``: the rendered
     rest; ``chosen_mask`` and ``rejected_mask``: arrays of (start, end) to train on; ``usable``:
     both completions let the assistant speak. Null conversations are empty ones. Equal
-    conversations have empty completions and are not usable. Other columns pass through; one named
-    ``into`` is replaced.
+    conversations have empty completions and are not usable. Repeated pairs stay, and an empty table
+    stays empty. Other columns pass through; one named ``into`` is replaced.
     """
     template = template or Template()
     a, b, n = "_chosen", "_rejected", "_common"

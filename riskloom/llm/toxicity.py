@@ -281,7 +281,8 @@ def scored(
     """``documents`` with a struct ``into``: the score, and the sentences that offend.
 
     ``sentences`` holds start, end (code points) and score of sentences of at least 0.5. Null and
-    empty texts score 0. Other columns pass through; one named ``into`` is replaced.
+    empty texts score 0. Repeated rows stay, equal texts have equal scores, and an empty table stays
+    empty. Other columns pass through; one named ``into`` is replaced.
     """
     held = documents.sparkSession.sparkContext.broadcast((model.features, model.weights))
     made: list[_Selected] = []
