@@ -102,6 +102,25 @@ def test_next_rows_over_many_ranges_and_large_ids(spark):
     assert {r.t: r.next_t for r in found} == want and len(found) == len(ids)
 
 
+def test_an_id_and_a_text_of_half_the_rows_are_spread(spark):
+    rows = [(None, "same text of many") for _ in range(4000)]
+    rows += [(n % 50, f"text {n} of it") for n in range(2000)]
+    rows += [(3, "x" * 100 + str(n)) for n in range(2000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(11)
+    base = df.withColumn("_order", F.coalesce("doc_id", F.lit(-(1 << 63)))).select("_order", "text")
+    paired = syncmers.with_next(base, "_order", ["text"])
+    # As many rows as went in, and every row is the next one of exactly one other.
+    found = [(r["_order"], r.text, r.next_text) for r in paired.collect()]
+    own = sorted(t for _, t in rows)
+    assert sorted(t for _, t, _ in found) == own and sorted(t for *_, t in found) == own
+    alike = [n for o, t, n in found if t == "same text of many"]
+    assert sum(n == "same text of many" for n in alike) == 3999
+    low = sorted((o, t, n) for o, t, n in found if o == 4)
+    assert [n for _, _, n in low[1:]] == [t for _, t, _ in low[:-1]]
+    sizes = paired.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 2500
+
+
 def test_any_windows_in_a_row_keep_one(spark):
     text = " ".join(random.Random(1).choices("abcdefgh", k=4000))
     df = spark.createDataFrame([(text,)], "text string")
