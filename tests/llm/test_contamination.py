@@ -2,7 +2,7 @@ import os
 import sys
 
 sys.path.insert(0, os.path.dirname(__file__))
-from brute import SCHEMA, odd_rows  # noqa: E402
+from brute import SCHEMA, SF, odd_rows  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from riskloom.llm import decontaminate as dc  # noqa: E402
@@ -55,6 +55,22 @@ def test_awkward_rows_in_one_block_and_in_many(spark):
     assert left.count() == sum(not w[3] for w in want)
 
 
+def test_a_benchmark_that_is_not_broadcast(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    # A third of the documents is one passage that many items hold too.
+    hot = "this very passage of more than ten words stands in a third of all the documents"
+    docs = docs.unionByName(spark.range(5000, 5400).select(F.col("id").alias("doc_id"), F.lit(hot).alias("text")))
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text")
+    held = [(r.item_id, r.text) for r in items.collect()]
+    more = spark.range(9000, 9040).select(F.col("id").alias("item_id"), F.lit(hot).alias("text"))
+    items = items.withColumn("item_id", F.col("item_id").cast("string"))
+    items = items.unionByName(more.withColumn("item_id", F.col("item_id").cast("string")))
+    one = got(dc.contamination(docs, items))
+    joined = dc.contamination(docs.withColumn("_row", F.lit(1)), items, block_bytes=0)
+    assert got(joined) == one and set(joined.columns) == {"doc_id", "text", "_row", "contamination"}
+    assert held and sum(len(r[3]) == 40 for r in one) == 400
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame(odd_rows(), SCHEMA)
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
