@@ -4,11 +4,15 @@
    ids: no query can use more of them, so a third of all rows on one point costs nothing.
 2. A tree of medians, built from a bounded sample, cuts space into cells of limited size, each time
    across the widest side. The sample only places the cuts; the answer does not depend on it.
-3. Round one searches each query's own cell and yields a radius that is certain to hold all
-   neighbours; where that cell holds too few, the farthest corner of the smallest enclosing box
-   with enough points does. Round two brings to the queries of a cell the points of those cells that some
-   query's radius touches, and only sums leave the task. Where that would be too many points for
-   one task, they are taken in chunks and the chunks' nearest points are merged.
+3. Round one searches each query's home, its cell or a few around it, and yields a radius that is
+   certain to hold all neighbours; where the home holds too few, the farthest corner of the
+   smallest enclosing box with enough points does. Round two holds a group of queries of
+   neighbouring cells in a task and lets the points of all cells that some query's radius touches
+   stream by, nearest cells first. Each query keeps its nearest points, and only sums leave the
+   task: nothing is stored that grows with queries times neighbours or with chunks of points.
+
+The number of groups is constant until a group has ``GROUP_QUERIES`` queries, so points that every
+query touches (many coordinates) are copied ``GROUPS`` times up to a million queries.
 
 Queries at the same coordinates are searched once. Ties are settled by id.
 """
@@ -34,6 +38,17 @@ SPARE_LEVELS = 3
 BLOCK = 4_000_000
 CHUNK_CELLS = 128
 MIN_SHARE = 0.1
+# What the driver holds of the tree, whatever the size of the table.
+MAX_LEVELS = 13
+TREE_BYTES = 64_000_000
+# Points of a query's home, as a multiple of the neighbours sought.
+HOME_SHARE = 4
+# Queries are searched in about so many groups, none larger than what a task may hold.
+GROUPS = 32
+LEAST_QUERIES = 1_024
+GROUP_QUERIES = 32_768
+QUERY_ROWS = 256
+FEW_COORDINATES = 8
 
 
 def vector(columns: Sequence[str]) -> Column:
@@ -56,7 +71,8 @@ def knn_target_mean(
     in both when ``exclude="fold"``. ``exclude="self"`` leaves out the reference with the query's
     own id, ``exclude="fold"`` all references of the query's fold. With fewer than ``k``
     references the mean covers those there are. ``cell_points`` defaults to ``CELL_POINTS``, or more
-    for large ``k``.
+    for large ``k``; cells are larger where the tree would not stay small. Cells stream by in turns
+    of ``chunk_cells``, nearest first. None of these changes a result.
     """
     ks = sorted(set(ks))
     by_fold = exclude == "fold"
@@ -69,17 +85,24 @@ def knn_target_mean(
     tree.measure(points, by_fold)
 
     sites = queries.groupBy(*place).agg(F.min("id").alias("site"))
-    sites = settle(_blocks(sites.withColumn("cell", tree.cell_of()), cell_queries))
+    sites = settle(sites.withColumn("cell", tree.cell_of()))
     sites = sites.toDF(*sites.columns)  # new column identities: queries may derive from refs
+    sites, groups = _groups(sites, cell_queries)
     if tree.depth:
-        within = _radius(sites, points, most, by_fold)
+        home = F.shiftright("cell", tree.levels_up(HOME_SHARE * most))
+        around = _blocks(sites.select("site", *place, home.alias("cell")), cell_queries)
+        within = _radius(settle(around), points.withColumn("cell", home), most, by_fold)
         found = sites.join(within, "site", "left")
         sites = settle(found.withColumn("r2", tree.certain(most, by_fold)))
-        touched = tree.touched(sites)
+        touched = tree.touched(sites).join(
+            sites.select("cell", "sub", "group").distinct(), ["cell", "sub"]
+        )
+        touched = touched.groupBy("group", "from_cell").agg(F.min("gap").alias("gap"))
     else:
-        sites = sites.withColumn("r2", F.lit(float("inf")))
-        touched = sites.select("cell", "sub", F.lit(1).alias("from_cell"))
-    facts = _nearest(sites, points, touched.distinct(), ks, most, by_fold, chunk_cells)
+        sites = settle(sites.withColumn("r2", F.lit(float("inf"))))
+        touched = sites.select("group", F.lit(1).alias("from_cell"), F.lit(0.0).alias("gap"))
+        touched = touched.distinct()
+    facts = _nearest(sites, points, touched, groups, ks, most, by_fold, chunk_cells)
     return _means(queries, sites.select("site", *place).join(facts, "site", "left"), place, ks,
                   exclude == "self")
 
@@ -111,6 +134,10 @@ class _Cuts:
     def __init__(self, points: DataFrame, cell_points: int):
         total = points.count()
         levels = int(np.ceil(np.log2(max(total, 1) / cell_points)))
+        if levels > 0:  # the driver holds the boxes, so large tables have larger cells
+            width = max(1, len(points.select("vec").first()["vec"]))
+            fitting = int(np.log2(TREE_BYTES / (16 * width))) - SPARE_LEVELS - 1
+            levels = max(1, min(levels, MAX_LEVELS, fitting))
         # Spare levels are for cells that tied coordinates keep from being halved.
         self.depth = levels + SPARE_LEVELS if levels > 0 else 0
         nodes = 2 ** (self.depth + 1)
@@ -188,6 +215,17 @@ class _Cuts:
             self.hi[node] = np.maximum(self.hi[2 * node], self.hi[2 * node + 1])
             self.count[node] = self.count[2 * node] + self.count[2 * node + 1]
 
+    def levels_up(self, enough: int) -> int:
+        """How far up nodes hold ``enough`` points on average."""
+        occupied = self.count[2**self.depth :].sum(axis=1)
+        level, size = 0, float(occupied.sum())
+        while level < self.depth:
+            here = np.add.reduceat(occupied, np.arange(0, len(occupied), 2**level))
+            if size / max(1, np.count_nonzero(here)) >= enough:
+                break
+            level += 1
+        return level
+
     def certain(self, most: int, by_fold: bool) -> Column:
         """A squared radius that holds ``most`` usable points, infinite if there are fewer.
 
@@ -224,42 +262,47 @@ class _Cuts:
         return radius("cell", "vec", fold, "r2")
 
     def touched(self, sites: DataFrame) -> DataFrame:
-        """``(cell, sub, from_cell)``: cells whose box lies within the radius of a query.
+        """``(cell, sub, from_cell, gap)``: cells whose box is within the radius of a block's box.
 
-        Sites come sorted by block, so a task names a cell about once per block it works on.
+        A block is the queries of one ``cell`` and ``sub``; ``gap`` is the squared distance.
         """
         boxes = sites.sparkSession.sparkContext.broadcast((self.lo, self.hi))
-        depth, block_cells = self.depth, BLOCK
+        depth, width = self.depth, self.lo.shape[1]
 
         def cells(batches):
             lo, hi = boxes.value
             for batch in batches:
                 table = pa.Table.from_batches([batch])
-                x = _matrix(table, "vec")
+                low, high = _matrix(table, "lo"), _matrix(table, "hi")
                 limit = table["r2"].to_numpy() * (1 + 1e-9)
                 block = np.stack([table["cell"].to_numpy(), table["sub"].to_numpy()], axis=1)
-                found = []
-                step = max(1, block_cells // (2**depth * x.shape[1]))
-                for start in range(0, len(x), step):
-                    who = np.arange(start, min(start + step, len(x)))
-                    node = np.ones(len(who), dtype=int)
+                for i in range(len(block)):
+                    node = np.ones(1, dtype=int)
                     for _ in range(depth):
-                        who = np.repeat(who, 2)
-                        node = np.repeat(2 * node, 2)
-                        node[1::2] += 1
-                        gap = np.maximum(np.maximum(lo[node] - x[who], x[who] - hi[node]), 0.0)
-                        near = (gap**2).sum(axis=1) <= limit[who]
-                        keep = np.isfinite(lo[node][:, 0]) & near
-                        who, node = who[keep], node[keep]
-                    found.append(np.unique(np.column_stack([block[who], node]), axis=0))
-                rows = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 3))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(rows[:, i].astype(np.int32)) for i in range(3)],
-                    names=["cell", "sub", "from_cell"],
-                )
-
-        asked = sites.select("cell", "sub", "vec", "r2").sortWithinPartitions("cell", "sub")
-        return asked.mapInArrow(cells, "cell int, sub int, from_cell int")
+                        node = np.concatenate([2 * node, 2 * node + 1])
+                        gap = np.maximum(np.maximum(lo[node] - high[i], low[i] - hi[node]), 0.0)
+                        gap = (gap**2).sum(axis=1)
+                        keep = np.isfinite(lo[node][:, 0]) & (gap <= limit[i])
+                        node, gap = node[keep], gap[keep]
+                    if len(node):
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(node), block[i, 0], np.int32)),
+                                pa.array(np.full(len(node), block[i, 1], np.int32)),
+                                pa.array(node.astype(np.int32)),
+                                pa.array(gap),
+                            ],
+                            names=["cell", "sub", "from_cell", "gap"],
+                        )
+
+        asked = sites.groupBy("cell", "sub").agg(
+            F.array(*[F.min(F.col("vec")[i]) for i in range(width)]).alias("lo"),
+            F.array(*[F.max(F.col("vec")[i]) for i in range(width)]).alias("hi"),
+            F.max("r2").alias("r2"),
+        )
+        return asked.repartition(shuffle_width(sites), "cell", "sub").mapInArrow(
+            cells, "cell int, sub int, from_cell int, gap double"
+        )
 
 
 def _blocks(sites: DataFrame, cell_queries: int) -> DataFrame:
@@ -340,98 +383,245 @@ def _ranks(ks: Sequence[int], most: int) -> list[int]:
     return sorted({*ks, *(k + 1 for k in ks if most > max(ks))})
 
 
+def _groups(sites: DataFrame, cell_queries: int) -> tuple[DataFrame, int]:
+    """Add ``sub`` and ``group``, and say how many groups there are.
+
+    Neighbouring cells make a group of up to a share ``1 / GROUPS`` of all queries, which is at least
+    ``LEAST_QUERIES`` (or ``cell_queries``, if less) and at most ``GROUP_QUERIES``. A cell of more
+    queries is split.
+    """
+    sizes = sites.groupBy("cell").count().toArrow()  # one row per cell of the bounded tree
+    cell, size = sizes["cell"].to_numpy(), sizes["count"].to_numpy()
+    least = min(cell_queries, LEAST_QUERIES)
+    limit = max(least, min(GROUP_QUERIES, int(size.sum()) // GROUPS))
+    first, parts = {}, {}
+    group, held = 0, 0
+    for i in np.argsort(cell):
+        if held and held + size[i] > limit:
+            group, held = group + 1, 0
+        first[int(cell[i])], parts[int(cell[i])] = group, -(-int(size[i]) // limit)
+        held += int(size[i])
+        if size[i] > limit:
+            group, held = group + parts[int(cell[i])], 0
+    places = np.array(sorted(first), dtype=np.int64)
+    begins = np.array([first[c] for c in places.tolist()], dtype=np.int64)
+    counts = np.array([parts[c] for c in places.tolist()], dtype=np.int64)
+
+    @F.pandas_udf("struct<begin int, parts int>")
+    def place(cell: pd.Series) -> pd.DataFrame:
+        at = np.searchsorted(places, cell.to_numpy())
+        return pd.DataFrame(
+            {"begin": begins[at].astype("int32"), "parts": counts[at].astype("int32")}
+        )
+
+    sub = F.pmod(F.xxhash64("site"), F.col("_at.parts")).cast("int")
+    rows = sites.withColumn("_at", place("cell")).withColumn("sub", sub)
+    rows = rows.withColumn("group", F.col("_at.begin") + F.col("sub")).drop("_at")
+    return rows, group + 1
+
+
+class _Held:
+    """The queries of a group and their nearest points among those that have passed by."""
+
+    def __init__(self, most: int, by_fold: bool):
+        self.most, self.by_fold = most, by_fold
+        self.tables: list[pa.Table] = []
+        self.ready = False
+
+    def settle(self) -> None:
+        """Lay the queries out by cell, so that a block of them is close together."""
+        asked = pa.concat_tables(self.tables)
+        asked = asked.take(pa.array(np.argsort(asked["cell"].to_numpy(), kind="stable")))
+        self.x = _matrix(asked, "vec")
+        self.site = asked["site"]
+        self.fold = _numbers(asked, "fold") if self.by_fold else None
+        self.limit = _numbers(asked, "r2").astype(float)
+        shape = (len(self.x), self.most)
+        self.d2 = np.full(shape, np.inf)
+        self.id = np.zeros(shape, dtype=np.int64)
+        self.y = np.zeros(shape)
+        self.tables, self.ready = [], True
+
+    def pass_by(self, offered: pa.Table) -> None:
+        r, ids = _matrix(offered, "vec"), _numbers(offered, "id")
+        ys = _numbers(offered, "y").astype(float)
+        fold = _numbers(offered, "fold") if self.by_fold else None
+        for start in range(0, len(self.x), QUERY_ROWS):
+            who = slice(start, min(start + QUERY_ROWS, len(self.x)))
+            q, limit = self.x[who], self.limit[who]
+            reach = np.sqrt(limit.max()) * (1 + 1e-9)
+            near = (r >= q.min(axis=0) - reach) & (r <= q.max(axis=0) + reach)
+            at = np.flatnonzero(near.all(axis=1))
+            if not len(at):
+                continue
+            same = None
+            if self.by_fold:
+                same = self.fold[who][:, None] == fold[at][None, :]
+            i, j, d2 = _within(q, r[at], limit, same, self.most)
+            if len(i):
+                self._merge(start, i, d2, ids[at[j]], ys[at[j]])
+
+    def _merge(self, start: int, i, d2, ids, ys) -> None:
+        """Keep the ``most`` nearest of the old and new points of each query, ties by id."""
+        who, back = np.unique(i, return_inverse=True)
+        rows = who + start
+        owner = np.concatenate([np.repeat(np.arange(len(who)), self.most), back])
+        every = [
+            np.concatenate([old[rows].ravel(), new])
+            for old, new in ((self.d2, d2), (self.id, ids), (self.y, ys))
+        ]
+        order = np.lexsort((every[1], every[0], owner))
+        first = np.searchsorted(owner[order], np.arange(len(who)))
+        kept = order[first[:, None] + np.arange(self.most)[None, :]]
+        self.d2[rows], self.id[rows], self.y[rows] = (x[kept] for x in every)
+        self.limit[rows] = np.minimum(self.limit[rows], self.d2[rows, -1])
+
+    def facts(self, ranks: Sequence[int]):
+        """Record batches of ``(site, n, sums, zero_ids, zero_ys)`` for queries with neighbours."""
+        for start in range(0, len(self.x), QUERY_ROWS):
+            who = slice(start, min(start + QUERY_ROWS, len(self.x)))
+            n = np.isfinite(self.d2[who]).sum(axis=1)
+            zero = (self.d2[who] == 0.0).sum(axis=1)
+            running = np.cumsum(self.y[who], axis=1)
+            at = np.minimum(np.array(ranks)[None, :], np.maximum(n, 1)[:, None]) - 1
+            sums = np.take_along_axis(running, at, axis=1)
+            own = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    self.site.slice(start, len(n)).combine_chunks().take(pa.array(own)),
+                    pa.array(n[own].astype(np.int32)),
+                    pa.array(list(sums[own]), pa.list_(pa.float64())),
+                    pa.array([self.id[start + i, : zero[i]] for i in own], pa.list_(pa.int64())),
+                    pa.array([self.y[start + i, : zero[i]] for i in own], pa.list_(pa.float64())),
+                ],
+                names=["site", "n", "sums", "zero_ids", "zero_ys"],
+            )
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return table[name].combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def _exact(q: np.ndarray, r: np.ndarray) -> np.ndarray:
+    """Squared distances of all pairs, summed in the order of the coordinates."""
+    d2 = np.zeros((len(q), len(r)))
+    for j in range(q.shape[1]):
+        d2 += (q[:, j][:, None] - r[:, j][None, :]) ** 2
+    return d2
+
+
+def _rough(q: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+    """Squared distances by one product of matrices in single precision, and what they may be off.
+
+    None where single precision could not hold them.
+    """
+    middle = q.mean(axis=0)
+    q, r = q - middle, r - middle
+    q_size, r_size = (q**2).sum(axis=1), (r**2).sum(axis=1)
+    size = q_size.max() + r_size.max()
+    if not 1e-20 < size < 1e30:
+        return None
+    one = np.ones
+    left = np.column_stack([-2 * q, q_size, one(len(q))]).astype(np.float32)
+    right = np.column_stack([r, one(len(r)), r_size]).astype(np.float32)
+    off = 4 * (q.shape[1] + 8) * float(np.finfo(np.float32).eps) * (q_size + r_size.max())
+    return left @ right.T, off
+
+
+def _within(q: np.ndarray, r: np.ndarray, limit: np.ndarray, same: np.ndarray | None, most: int):
+    """``(query, point, d2)`` of the pairs within the queries' limits, and of no fold they share.
+
+    A query with far more of them gives its ``most`` nearest and what ties with these. With many
+    coordinates a matrix product first leaves out pairs that are certain to be too far apart.
+    """
+    rough = _rough(q, r) if q.shape[1] > FEW_COORDINATES else None
+    d2, off = rough if rough else (_exact(q, r), np.zeros(len(q)))
+    if same is not None:
+        d2[same] = np.inf
+    bound = limit + off
+    near = d2 <= bound[:, None]
+    if np.count_nonzero(near) > 4 * most * len(q) and len(r) > most:
+        kth = np.partition(d2, most - 1, axis=1)[:, most - 1]
+        bound = np.where(kth + 2 * off < bound, kth + 2 * off, bound)
+        near = d2 <= bound[:, None]
+    i, j = np.nonzero(near)
+    if not rough:
+        d2 = d2[i, j]
+    else:
+        d2 = np.zeros(len(i))
+        for c in range(q.shape[1]):
+            d2 += (q[i, c] - r[j, c]) ** 2
+    kept = (d2 <= limit[i]) & np.isfinite(d2)
+    return i[kept], j[kept], d2[kept]
+
+
 def _nearest(
     sites: DataFrame,
     points: DataFrame,
     touched: DataFrame,
+    groups: int,
     ks: Sequence[int],
     most: int,
     by_fold: bool,
     chunk_cells: int,
 ) -> DataFrame:
-    """``(site, n, sums, zero_ids, zero_ys)`` per query site.
+    """``(site, n, sums, zero_ids, zero_ys)`` per query site that has neighbours.
 
-    ``sums`` holds the label sum of the nearest points at every rank of ``_ranks``, ``n`` how many
-    points there are at most, ``zero_*`` the points at distance 0 in id order.
+    A group of queries is held in one task while the points of all cells it touches stream by, so
+    a task holds no more than its queries and their ``most`` nearest. ``sums`` holds the label sum
+    of the nearest points at every rank of ``_ranks``, ``n`` how many points there are at most,
+    ``zero_*`` the points at distance 0 in id order.
     """
     ranks = _ranks(ks, most)
-    in_block = Window.partitionBy("cell", "sub")
-    chunked = touched.withColumn(
-        "chunk",
-        F.floor((F.row_number().over(in_block.orderBy("from_cell")) - 1) / chunk_cells).cast("int"),
+    near_first = Window.partitionBy("group").orderBy("gap", "from_cell")
+    streams = touched.select(
+        "from_cell",
+        "group",
+        F.floor((F.row_number().over(near_first) - 1) / chunk_cells).cast("int").alias("turn"),
     )
-    chunked = settle(chunked.withColumn("chunks", F.max("chunk").over(in_block) + 1))
-    offered = points.withColumnRenamed("cell", "from_cell").join(chunked, "from_cell")
-    asked = sites.join(chunked.select("cell", "sub", "chunk", "chunks").distinct(), ["cell", "sub"])
-    schema = (
-        "site long, n int, sums array<double>, zero_ids array<long>, zero_ys array<double>, "
-        "chunks int, d2 array<double>, ids array<long>, ys array<double>"
+    fold = F.col("fold").cast("int") if by_fold else F.lit(0)
+    offered = points.withColumnRenamed("cell", "from_cell").join(streams, "from_cell").select(
+        "group", "turn", F.lit(None).cast("long").alias("site"), "vec", fold.alias("fold"),
+        F.lit(None).cast("double").alias("r2"), F.col("from_cell").alias("cell"),
+        F.col("id").cast("long").alias("id"), F.col("y").cast("double").alias("y"),
     )
-    empty = pa.table({
-        "site": pa.array([], pa.int64()), "n": pa.array([], pa.int32()),
-        **{c: pa.array([], pa.list_(kind)) for c, kind in (
-            ("sums", pa.float64()), ("zero_ids", pa.int64()), ("zero_ys", pa.float64()))},
-        "chunks": pa.array([], pa.int32()),
-        **{c: pa.array([], pa.list_(kind)) for c, kind in (
-            ("d2", pa.float64()), ("ids", pa.int64()), ("ys", pa.float64()))},
-    })
-    numbers, blocks = _distances(by_fold)
-
-    def search(asked: pa.Table, offered: pa.Table) -> pa.Table:
-        if not asked.num_rows or not offered.num_rows:
-            return empty
-        limits, every_id = numbers(asked, "r2"), numbers(offered, "id")
-        every_y = numbers(offered, "y").astype(float)
-        chunks = int(numbers(asked, "chunks")[0])
-        sites_of = numbers(asked, "site").astype("int64")
-        rows = []
-        for who, at, d2 in blocks(asked, offered, limits):
-            ids, ys = every_id[at], every_y[at]
-            for i, row in zip(who, d2):
-                near = np.flatnonzero((row <= limits[i]) & np.isfinite(row))
-                if len(near) > most:
-                    kth = np.partition(row[near], most - 1)[most - 1]
-                    near = near[row[near] <= kth]
-                # Points are in id order, so a stable sort settles ties by id.
-                near = near[np.argsort(row[near], kind="stable")][:most]
-                if not len(near):
-                    continue
-                d, y = row[near], ys[near]
-                running = np.cumsum(y)
-                zero = int(np.searchsorted(d, 0.0, side="right"))
-                alone = chunks == 1
-                rows.append((
-                    sites_of[i], len(near),
-                    running[np.minimum(ranks, len(near)) - 1] if alone else (),
-                    ids[near[:zero]] if alone else (), y[:zero] if alone else (), chunks,
-                    () if alone else d, () if alone else ids[near], () if alone else y,
-                ))
-        if not rows:
-            return empty
-        return pa.table(
-            [pa.array(list(c), f.type) for c, f in zip(zip(*rows), empty.schema)],
-            schema=empty.schema,
-        )
-
-    found = _both_sides(asked, offered, "cell", "sub", "chunk").applyInArrow(search, schema)
-    found = settle(found)
-    alone = found.filter("chunks = 1").select("site", "n", "sums", "zero_ids", "zero_ys")
-    near = F.slice(
-        F.array_sort(F.flatten(F.collect_list(F.arrays_zip("d2", "ids", "ys")))), 1, most
+    asked = sites.select(
+        "group", F.lit(-1).alias("turn"), F.col("site").cast("long").alias("site"), "vec",
+        fold.alias("fold"), F.col("r2").cast("double").alias("r2"), F.col("cell").alias("cell"),
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("double").alias("y"),
     )
-    merged = found.filter("chunks > 1").groupBy("site").agg(near.alias("near"))
 
-    def upto(rank: int) -> Column:
-        return F.aggregate(F.slice("near", 1, rank), F.lit(0.0), lambda acc, p: acc + p["ys"])
-
-    zero = F.filter("near", lambda p: p["d2"] == 0.0)
-    return alone.unionByName(
-        merged.select(
-            "site",
-            F.size("near").alias("n"),
-            F.array(*[upto(r) for r in ranks]).alias("sums"),
-            F.transform(zero, lambda p: p["ids"]).alias("zero_ids"),
-            F.transform(zero, lambda p: p["ys"]).alias("zero_ys"),
+    def search(batches):
+        group, held = None, None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            owner, turn = table["group"].to_numpy(), table["turn"].to_numpy()
+            new = (np.diff(owner) != 0) | ((turn[1:] < 0) != (turn[:-1] < 0))
+            edges = [0, *(np.flatnonzero(new) + 1).tolist(), len(owner)]
+            for start, end in zip(edges, edges[1:]):
+                if end == start:
+                    continue
+                part = table.slice(start, end - start)
+                if owner[start] != group:
+                    if held is not None and held.ready:
+                        yield from held.facts(ranks)
+                    group, held = owner[start], _Held(most, by_fold)
+                if turn[start] < 0:
+                    held.tables.append(part)
+                else:
+                    if not held.ready:
+                        held.settle()
+                    held.pass_by(part)
+        if held is not None and held.ready:
+            yield from held.facts(ranks)
+
+    return settle(
+        asked.unionByName(offered)
+        .repartitionById(groups, "group")
+        .sortWithinPartitions("group", "turn")
+        .mapInArrow(
+            search,
+            "site long, n int, sums array<double>, zero_ids array<long>, zero_ys array<double>",
         )
     )
 

@@ -239,6 +239,40 @@ def test_neighbour_tree_cuts_every_side_and_prunes(spark):
     assert tree.touched(near).distinct().count() / near.count() < 0.25 * cells
 
 
+def test_neighbour_join_stores_no_row_per_query_and_chunk(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, [rng.random(), rng.random(), rng.random()], i % 2) for i in range(900)]
+    refs = spark.createDataFrame(rows, "id int, vec array<double>, y int")
+    stored = []
+
+    def counted(df):
+        kept = settle(df)
+        stored.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(N, "settle", counted)
+    found = knn_target_mean(
+        refs, refs.select("id", "vec"), [3, 10], "self", cell_points=16, chunk_cells=1
+    )
+    assert found.count() == len(rows) and max(stored) <= len(rows)
+
+
+@pytest.mark.parametrize("exclude", ["self", "fold"])
+def test_knn_of_many_coordinates_against_brute_force(spark, exclude):
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(4, 24))
+    vec = 1000 + centres[rng.integers(0, 4, 400)] + 0.05 * rng.normal(size=(400, 24))
+    vec[200:260] = vec[0]  # ties
+    vec[260:300] = vec[:40] + 1e-9
+    rows = [(int(i), [float(v) for v in x], int(i % 3 == 0), int(i % 4)) for i, x in enumerate(vec)]
+    refs = spark.createDataFrame(rows, "id int, vec array<double>, y int, fold int")
+    allowed = {"self": lambda q, r: q[0] != r[0], "fold": lambda q, r: q[3] != r[3]}[exclude]
+    want = brute_knn(rows, rows, [3, 20], allowed)
+    asked = refs.select("id", "vec", "fold")
+    for r in knn_target_mean(refs, asked, [3, 20], exclude, cell_points=60, cell_queries=50).collect():
+        assert (r["KNN_TARGET_MEAN_K3"], r["KNN_TARGET_MEAN_K20"]) == pytest.approx(want[r["id"]])
+
+
 def test_simplex_blend_against_all_vectors(scored):
     df, rows = scored
     weights, auc = B.simplex_blend(df, "y", ["a", "b", "c"], step=0.25, bins=50)
