@@ -1,8 +1,8 @@
 """Quality by perplexity: documents unlike trusted text, for their language, are rejected.
 
-A character n-gram model (interpolated modified Kneser-Ney) is trained on documents labelled as
-good, at most ``SAMPLE`` of them by hash of the id, so that the texts need no shuffle: a bounded
-list of ids goes to them. A fifth of the good documents, all of it, sets thresholds instead. Counts live in shards by n-gram; the distinct
+A character n-gram model (interpolated modified Kneser-Ney) is trained on all documents labelled as
+good but a fifth, which sets thresholds instead. While the list of their ids is small it goes to the
+texts, which then need no shuffle. Counts live in shards by n-gram; the distinct
 n-grams of a batch of documents are joined to the shards that hold them, and a document's perplexity
 is summed from its own. A language's threshold is a high quantile of the perplexities of its
 kept-back good documents, times a margin for what the few of them cannot show. A document's
@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import free_names, remainder
 from riskloom.llm.kneser_ney import train
 from riskloom.llm.lm_score import scored
+from riskloom.operators.joins import attach
 from riskloom.session import write_out
 
 ORDER = 4
-SAMPLE = 50_000
 KEPT_BACK = 5
+LISTED_IDS = 1_500_000  # ids that go to the texts; beyond that both are shuffled
 QUANTILE = 0.995
 PRIOR = 60
 MARGIN = 1.1
@@ -32,7 +33,6 @@ def rated(
     documents: DataFrame,
     labels: DataFrame,
     order: int = ORDER,
-    sample: int = SAMPLE,
     quantile: float = QUANTILE,
     prior: float = PRIOR,
     margin: float = MARGIN,
@@ -49,14 +49,16 @@ def rated(
     named ``into`` is replaced.
     """
     base = documents.drop(into)
-    good = labels.filter("quality = 1").select(F.col("doc_id").alias("_good")).distinct()
-    kept_back, back = remainder("doc_id", KEPT_BACK) == 0, remainder("_good", KEPT_BACK) == 0
-    ids = write_out(good.filter(~back).orderBy(F.xxhash64("_good")).limit(sample))
-    known = F.col("doc_id") == F.col("_good")
+    good = write_out(labels.filter("quality = 1").select("doc_id").distinct())
+    kept_back = remainder("doc_id", KEPT_BACK) == 0
     texts = base.select("doc_id", "text", "lang")
-    trusted = texts.join(F.broadcast(ids), known, "left_semi")  # at most ``sample`` ids
+
+    def of(ids: DataFrame, rows: DataFrame) -> DataFrame:
+        return attach(rows, ids, ["doc_id"], "left_semi", max_rows=LISTED_IDS, settled=True)
+
+    trusted = of(good.filter(~kept_back), texts.filter(~kept_back))
     model = train(write_out(trusted.select("text")), symbols="chars", order=order)
-    checks = texts.filter(kept_back).join(good.filter(back), known, "left_semi")
+    checks = of(good.filter(kept_back), texts.filter(kept_back))
     # Sums of the kept-back trusted documents give each language its mean, then its quantile.
     checked = write_out(
         scored(checks, model, into="_lm")
@@ -81,12 +83,12 @@ def rated(
         (margin * F.percentile_approx("ppl", quantile, 100_000)).alias("limit"),
     )
     every = ppl.agg(margin * F.percentile_approx("ppl", quantile, 100_000)).first()[0]
-    lm, lang, of = free_names(base, "_lm", "_lang", "_of_lang")
+    lm, lang, own_lang = free_names(base, "_lm", "_lang", "_of_lang")
     made = scored(base, model, into=lm).withColumn(lang, F.coalesce("lang", F.lit("")))
-    limits = limits.select(F.col("_lang").alias(lang), F.struct("mean", "limit").alias(of))
+    limits = limits.select(F.col("_lang").alias(lang), F.struct("mean", "limit").alias(own_lang))
     joined = made.join(limits, lang, "left")
-    mean = F.coalesce(f"{of}.mean", F.lit(overall).cast("double"))
-    limit = F.coalesce(f"{of}.limit", F.lit(every).cast("double"))
+    mean = F.coalesce(f"{own_lang}.mean", F.lit(overall).cast("double"))
+    limit = F.coalesce(f"{own_lang}.limit", F.lit(every).cast("double"))
     own = drawn(F.col(f"{lm}.score"), F.col(f"{lm}.n_tokens"), mean)
     empty = F.col(f"{lm}.n_tokens") <= 1
     return joined.select(

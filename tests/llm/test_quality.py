@@ -2,6 +2,7 @@ import math
 import os
 import sys
 
+import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
@@ -57,3 +58,21 @@ def test_awkward_rows_and_empty_tables(spark):
     kept = quality.without_rejected(odd, labels.limit(0))
     assert kept.columns == odd.columns and kept.count() == len(odd_rows())
     assert quality.without_rejected(odd.limit(0), labels).count() == 0
+
+
+def test_all_trusted_documents_are_trained_on(spark, monkeypatch):
+    class Trained(Exception):
+        pass
+
+    def counted(texts, **_):
+        raise Trained(texts.count())
+
+    monkeypatch.setattr(quality, "train", counted)
+    docs = spark.range(70_000).select(F.col("id").alias("doc_id"), F.lit("a").alias("text"), F.lit("en").alias("lang"))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    want = labels.filter(quality.remainder("doc_id", quality.KEPT_BACK) != 0).count()
+    for listed in (quality.LISTED_IDS, 1_000):
+        monkeypatch.setattr(quality, "LISTED_IDS", listed)
+        with pytest.raises(Trained) as found:
+            quality.rated(docs, labels)
+        assert found.value.args[0] == want > 50_000
