@@ -94,15 +94,18 @@ def knn_target_mean(
         within = _radius(settle(around), points.withColumn("cell", home), most, by_fold)
         found = sites.join(within, "site", "left")
         sites = settle(found.withColumn("r2", tree.certain(most, by_fold)))
-        touched = tree.touched(sites).join(
-            sites.select("cell", "sub", "group").distinct(), ["cell", "sub"]
+        # A query with a null coordinate has no radius, and its cell goes without an answer.
+        lost = sites.filter(F.isnull("r2") | F.isnan("r2")).select("cell").distinct()
+        found = sites.join(F.broadcast(lost), "cell", "left_anti")
+        touched = tree.touched(found).join(
+            found.select("cell", "sub", "group").distinct(), ["cell", "sub"]
         )
         touched = touched.groupBy("group", "from_cell").agg(F.min("gap").alias("gap"))
     else:
         sites = settle(sites.withColumn("r2", F.lit(float("inf"))))
         touched = sites.select("group", F.lit(1).alias("from_cell"), F.lit(0.0).alias("gap"))
-        touched = touched.distinct()
-    facts = _nearest(sites, points, touched, groups, ks, most, by_fold, chunk_cells)
+        touched, found = touched.distinct(), sites
+    facts = _nearest(found, points, touched, groups, ks, most, by_fold, chunk_cells)
     return _means(queries, sites.select("site", *place).join(facts, "site", "left"), place, ks,
                   exclude == "self")
 
@@ -125,6 +128,8 @@ def thinned(refs: DataFrame, place: list[str], most: int) -> DataFrame:
 def _matrix(rows: pa.Table, column: str) -> np.ndarray:
     """An array column as a matrix, one row per value."""
     flat = rows.column(column).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    if not rows.num_rows:
+        return np.zeros((0, 0))
     return flat.reshape(rows.num_rows, -1).astype(float)
 
 
@@ -372,7 +377,8 @@ def _radius(sites: DataFrame, points: DataFrame, most: int, by_fold: bool) -> Da
         found = np.full(asked.num_rows, np.inf)
         if asked.num_rows and offered.num_rows >= most:
             for who, _, d2 in blocks(asked, offered, found):
-                found[who] = np.partition(d2, most - 1, axis=1)[:, most - 1]
+                if d2.shape[1] >= most:  # points with a null coordinate are no neighbours
+                    found[who] = np.partition(d2, most - 1, axis=1)[:, most - 1]
         return pa.table({"site": asked["site"].cast(pa.int64()), "r2": pa.array(found)})
 
     return _both_sides(sites, offered, "cell", "sub").applyInArrow(radius, "site long, r2 double")
@@ -431,6 +437,8 @@ class _Held:
     def settle(self) -> None:
         """Lay the queries out by cell, so that a block of them is close together."""
         asked = pa.concat_tables(self.tables)
+        whole = np.isfinite(_matrix(asked, "vec")).all(axis=1)  # the others have no neighbours
+        asked = asked.filter(pa.array(whole))
         asked = asked.take(pa.array(np.argsort(asked["cell"].to_numpy(), kind="stable")))
         self.x = _matrix(asked, "vec")
         self.site = asked["site"]
@@ -528,6 +536,11 @@ def _rough(q: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None
     return left @ right.T, off
 
 
+def _up(values: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """The values in another precision, none of them less than before."""
+    return values if values.dtype == kind else np.nextafter(values.astype(kind), kind.type(np.inf))
+
+
 def _within(q: np.ndarray, r: np.ndarray, limit: np.ndarray, same: np.ndarray | None, most: int):
     """``(query, point, d2)`` of the pairs within the queries' limits, and of no fold they share.
 
@@ -539,12 +552,12 @@ def _within(q: np.ndarray, r: np.ndarray, limit: np.ndarray, same: np.ndarray |
     if same is not None:
         d2[same] = np.inf
     bound = limit + off
-    near = d2 <= bound[:, None]
+    near = d2 <= _up(bound, d2.dtype)[:, None]
     if np.count_nonzero(near) > 4 * most * len(q) and len(r) > most:
         kth = np.partition(d2, most - 1, axis=1)[:, most - 1]
         bound = np.where(kth + 2 * off < bound, kth + 2 * off, bound)
-        near = d2 <= bound[:, None]
-    i, j = np.nonzero(near)
+        near = d2 <= _up(bound, d2.dtype)[:, None]
+    i, j = np.divmod(np.flatnonzero(near.ravel()), len(r))
     if not rough:
         d2 = d2[i, j]
     else:
