@@ -95,12 +95,14 @@ class LineIndex:
         """An index laid out for about ``lines`` postings; it may hold any number."""
         wide = 4 * int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         shards = max(wide, math.ceil(lines / SHARD_ROWS))
-        key = "shard long, k1 long, k2 long"
+        # Empty tables of the JVM: rows from the driver's Python would cost a second set of workers.
+        none = spark.range(0)
+        key = none.select(*[F.col("id").alias(c) for c in KEY])
         return cls(
             shards,
-            spark.createDataFrame([], f"{key}, doc_id long"),
-            spark.createDataFrame([], f"{key}, refs long, owner long"),
-            spark.createDataFrame([], "shard long, cells binary"),
+            key.withColumn("doc_id", F.col("k1")),
+            key.withColumn("refs", F.col("k1")).withColumn("owner", F.col("k1")),
+            none.selectExpr("id AS shard", "CAST(string(id) AS BINARY) AS cells"),
             least,
         )
 
@@ -109,8 +111,11 @@ class LineIndex:
 
         There are more shards once the postings outgrow ``SHARD_ROWS`` for each of them.
         """
-        new = line_keys(documents, text, doc_id, self.least).select("k1", "k2", "doc_id")
-        new = new.distinct()
+        return self.insert_keys(line_keys(documents, text, doc_id, self.least))
+
+    def insert_keys(self, lines: DataFrame) -> LineIndex:
+        """Like ``insert``, for documents whose lines are at hand (``line_keys``)."""
+        new = lines.select("k1", "k2", "doc_id").distinct()
         if not self.postings.isEmpty():
             new = new.join(self.postings, ["k1", "k2", "doc_id"], "left_anti")
         new = write_out(new)
@@ -275,11 +280,14 @@ def deduplicated(
     documents = documents.drop(into)
     gone, doc, hash_ = free_names(documents, "_drops", "_doc", "_text_hash")
     spark = documents.sparkSession
-    index = index or LineIndex.empty(spark).insert(documents, doc_id, text)
-    least = index.least
+    least = index.least if index else MIN_CHARS
+    lines = line_keys(documents, text, doc_id, least)
+    if index is None:  # both ways need the keys, and the texts pass Python once for them
+        lines = write_out(lines)
+        index = LineIndex.empty(spark).insert_keys(lines)
     # Rows of one id share no list, or one of a frequent id would hold the lines of all its texts.
     drops = (
-        index.repeated(line_keys(documents, text, doc_id, least))
+        index.repeated(lines)
         .groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(hash_))
         .agg(F.collect_set(F.struct("k1", "k2")).alias(gone))
     )

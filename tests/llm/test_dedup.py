@@ -64,6 +64,23 @@ def test_line_index_inserts_and_deletes(spark):
     assert sorted(map(tuple, got), key=str) == kept_lines(left)
 
 
+def test_texts_pass_python_once_for_their_keys(spark, monkeypatch):
+    """Keys are stored for both uses, and an index without rows starts no Python of its own."""
+    none = line_dedup.LineIndex.empty(spark)
+    for table in (none.postings, none.counts, none.filters):
+        assert table.count() == 0
+        assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    made, keys = [], line_dedup.line_keys
+    monkeypatch.setattr(line_dedup, "line_keys", lambda *a: made.append(a) or keys(*a))
+    rows = [(1, "a line of text\nown words here"), (2, "A line of text \nshort"), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.lines for r in line_dedup.deduplicated(docs).collect()}
+    assert {i: (r.n_lines, r.n_dropped, r.kept) for i, r in got.items()} == {
+        1: (2, 0, rows[0][1]), 2: (2, 1, "short"), 3: (1, 0, "")
+    }
+    assert len(made) == 1
+
+
 def test_shards_follow_the_lines(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     first, second = docs.filter("doc_id % 3 = 0"), docs.filter("doc_id % 3 != 0")
